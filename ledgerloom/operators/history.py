@@ -86,11 +86,11 @@ def apply_snapshot(
 
 
 def history_from_changes(
-    feed: DataFrame, key: str, tie_break: str, *, updated_at: str = "updated_at", bucket: str = "DAY"
+    feed: DataFrame, key: str, tie_break: str, *, updated_at: str = "updated_at", bucket: str = "HOUR"
 ) -> DataFrame:
     """The whole history in one pass over a change feed; equal to snapshotting after every change."""
     versions = dedup_latest(feed, [key, updated_at], updated_at, [tie_break])
-    spans = next_value(versions, key, updated_at, "valid_to", bucket)
+    spans = next_value(versions, key, updated_at, "valid_to", bucket, times=feed.select(key, updated_at))
     return spans.withColumns({"valid_from": F.col(updated_at), "scd_id": scd_id(key, updated_at)})
 
 

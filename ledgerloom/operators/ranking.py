@@ -33,38 +33,36 @@ def flag_latest(
     """Keep all rows and mark the first row of each group.
 
     A plain window would sort a whole group in one task. Here the winners are found with map-side
-    reduction and matched back on (key, row_id), which spreads a hot key evenly. ``row_id`` is unique.
+    reduction and matched back on ``row_id``, which is unique and so spreads every group evenly.
     """
-    winners = (
-        top1_per_group(df, [key], order)
-        .where(F.col(row_id).isNotNull())
-        .select(F.col(key).alias("_key"), F.col(row_id).alias("_id"), F.lit(True).alias(flag))
-    )
-    match = F.col(key).eqNullSafe(F.col("_key")) & (F.col(row_id) == F.col("_id"))
-    joined = df.join(winners, match, "left")
-    return joined.withColumn(flag, F.coalesce(flag, F.lit(False))).drop("_key", "_id")
+    winners = top1_per_group(df, [key], order).select(F.col(row_id).alias("_id"), F.lit(True).alias(flag))
+    joined = df.join(winners, F.col(row_id) == F.col("_id"), "left")
+    return joined.withColumn(flag, F.coalesce(flag, F.lit(False))).drop("_id")
 
 
 def next_value(
-    df: DataFrame, key: str, order: str, result: str, bucket: str = "DAY"
+    df: DataFrame, key: str, order: str, result: str, bucket: str = "HOUR", times: DataFrame | None = None
 ) -> DataFrame:
     """``lead(order)`` within each key, for rows unique on (key, order), without one task per key.
 
     Rows are cut into time buckets. Inside a bucket a window finds the successor; the last row of a
     bucket takes the first time of the key's next non-empty bucket. That second step runs on one row per
     (key, bucket), so a single group is bounded by the number of buckets in the history, whatever the
-    number of rows. Choose the bucket so that one key's rows in one bucket fit a task.
+    number of rows. Choose the bucket so that one key's rows in one bucket fit a task. ``times`` may name
+    a cheaper relation with the same (key, order) pairs, duplicates allowed, to take the first times from.
     """
-    cut = df.withColumn("_bucket", F.date_trunc(bucket, F.col(order)).cast("timestamp_ntz"))
+    cut = F.date_trunc(bucket, F.col(order)).cast("timestamp_ntz")
     within = Window.partitionBy(key, "_bucket").orderBy(order)
-    ahead = Window.partitionBy(key).orderBy("_bucket")
-    firsts = cut.groupBy(key, "_bucket").agg(F.min(order).alias("_first"))
-    following = firsts.select(
-        F.col(key).alias("_k"), F.col("_bucket").alias("_b"), F.lead("_first").over(ahead).alias("_next")
+    ahead = Window.partitionBy("_k").orderBy("_b")
+    firsts = (
+        (df if times is None else times)
+        .groupBy(F.col(key).alias("_k"), cut.alias("_b"))
+        .agg(F.min(order).alias("_first"))
+        .select("_k", "_b", F.lead("_first").over(ahead).alias("_next"))
     )
-    inner = cut.withColumn("_inner", F.lead(order).over(within))
+    inner = df.withColumn("_bucket", cut).withColumn("_inner", F.lead(order).over(within))
     return (
-        inner.join(following, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")), "left")
+        inner.join(firsts, (F.col(key) == F.col("_k")) & (F.col("_bucket") == F.col("_b")), "left")
         .withColumn(result, F.coalesce("_inner", "_next"))
         .drop("_bucket", "_k", "_b", "_next", "_inner")
     )

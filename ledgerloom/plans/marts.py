@@ -13,6 +13,7 @@ from ledgerloom.functions import (
     date_lit,
     days_between,
     dpd_bucket,
+    lower_trim,
     money_sum,
     provision_rate,
     safe_divide,
@@ -58,8 +59,19 @@ def _lookup(label: Column, weights: dict[str, str]) -> Column:
     return F.coalesce(out, _dec("0"))
 
 
-def customer_txn_summary(cat: Catalog) -> DataFrame:
-    """Lifetime and trailing-window activity per customer, in one scan of the transactions."""
+def customer_txn_summary(cat: Catalog, by_category: bool = True) -> DataFrame:
+    """Lifetime and trailing-window activity per customer, in one scan of the transactions.
+
+    Without ``by_category`` the debit and credit volumes are left out, and with them the join that brings
+    the category to every transaction.
+    """
+    if by_category:
+        staged = cat.ref("stg_transactions")
+    else:
+        status, channel = lower_trim("transaction_status"), lower_trim("channel")
+        staged = typed_source(cat, "transactions").withColumns(
+            {"is_completed": status == "completed", "channel": channel}
+        )
     today = date_lit(cat.ctx.as_of)
     done, amount = F.col("is_completed"), F.col("amount_idr")
     recent = {n: (F.col("transaction_date") >= F.date_sub(today, n)) & done for n in HORIZONS}
@@ -72,14 +84,13 @@ def customer_txn_summary(cat: Catalog) -> DataFrame:
         )
     ]
     return (
-        cat.ref("stg_transactions")
-        .groupBy("customer_id")
+        staged.groupBy("customer_id")
         .agg(
             F.count("*").alias("total_transactions"),
             money_sum(done, amount).alias("total_txn_volume_idr"),
             *[
                 money_sum((F.col("transaction_category") == c) & done, amount).alias(f"total_{c}_idr")
-                for c in ("debit", "credit")
+                for c in (("debit", "credit") if by_category else ())
             ],
             F.max("transaction_at").alias("last_transaction_at"),
             F.min("transaction_at").alias("first_transaction_at"),
@@ -147,7 +158,8 @@ def mart_customer_360(cat: Catalog) -> DataFrame:
         F.col("score_date").alias("credit_score_date"),
     )
     joined = cat.ref("stg_customers").join(branches, "onboarding_branch_id", "left")
-    for part in (customer_account_summary(cat), customer_txn_summary(cat), customer_loan_summary(cat), scores):
+    activity = customer_txn_summary(cat, by_category=False)
+    for part in (customer_account_summary(cat), activity, customer_loan_summary(cat), scores):
         joined = joined.join(part, "customer_id", "left")
 
     idle_days = days_between(today, F.to_date("last_transaction_at"))
