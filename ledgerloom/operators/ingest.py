@@ -65,12 +65,12 @@ def project_cast(df: DataFrame, spec: TableSpec, evolve: bool = False) -> DataFr
     A listed column the source does not have fails here, while the plan is built. With ``evolve`` the
     source's extra columns follow, unchanged.
     """
-    types = {f.name: f.dataType for f in spec.schema}
+    types = {f.name: f.dataType.simpleString() for f in spec.schema}
     missing = [c for c in spec.columns if c not in df.columns]
     if missing:
         raise ValueError(f"[{spec.name}] source lacks columns: {', '.join(missing)}")
     extra = [c for c in df.columns if c not in types] if evolve else []
-    return df.select([F.col(c).cast(types[c]).alias(c) for c in spec.columns] + extra)
+    return df.selectExpr(*[f"CAST(`{c}` AS {types[c]}) AS `{c}`" for c in spec.columns], *[f"`{c}`" for c in extra])
 
 
 def window_filter(df: DataFrame, column: str, window: Window) -> DataFrame:

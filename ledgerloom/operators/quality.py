@@ -1,6 +1,6 @@
 """Data-quality checks: each is a relation of violating rows, and a whole suite is a few aggregates.
 
-Per relation, all row-level checks share one aggregate, and all uniqueness checks share one shuffle.
+All row-level checks of a relation share one aggregate, and all uniqueness checks share one shuffle.
 """
 
 from __future__ import annotations
@@ -96,21 +96,26 @@ def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counted.select(F.inline(entries))
 
 
-def _unique(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Duplicated values of several columns in one pass: (column, value) pairs are counted together."""
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")) for i, c in enumerate(checks)]
-    )
+def _unique(cat: Catalog, checks: Sequence[Check]) -> DataFrame:
+    """Duplicated values of any number of columns and relations, in one shuffle.
+
+    Every value travels with the number of its check; equal pairs are counted on the map side first.
+    """
+    numbered = list(enumerate(checks))
+    parts = []
+    for model, group in groupby(numbered, key=lambda x: x[1].model):
+        pairs = [F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")) for i, c in group]
+        parts.append(cat.relation(model).select(F.inline(F.array(*pairs))))
     repeated = (
-        df.select(F.inline(pairs))
+        reduce(DataFrame.unionByName, parts)
         .where(F.col("v").isNotNull())
         .groupBy("i", "v")
         .agg(F.count("*").alias("n"))
         .groupBy("i")
         .agg(F.count_if(F.col("n") > 1).alias("f"))
     )
-    by_slot = F.element_at(F.array(*[_entry(c, F.col("f")) for c in checks]), F.col("i") + 1)
-    return repeated.select(by_slot.alias("e")).select("e.*")
+    by_number = F.element_at(F.array(*[_entry(c, F.col("f")) for c in checks]), F.col("i") + 1)
+    return repeated.select(by_number.alias("e")).select("e.*")
 
 
 def _relationship(cat: Catalog, check: Check) -> DataFrame:
@@ -134,12 +139,12 @@ def failure_counts(spark: SparkSession, cat: Catalog, checks: Iterable[Check]) -
     for (_, model), group in groupby(checks, key=lambda c: (c.stage, c.model)):
         group = list(group)
         by_row = [c for c in group if c.row_level]
-        unique = [c for c in group if c.kind == UNIQUE]
         if by_row:
             parts.append(_row_level(cat.relation(model), by_row))
-        if unique:
-            parts.append(_unique(cat.relation(model), unique))
         parts += [_relationship(cat, c) for c in group if c.kind == RELATIONSHIP]
+    unique = [c for c in checks if c.kind == UNIQUE]
+    if unique:
+        parts.append(_unique(cat, unique))
     counted = reduce(DataFrame.unionByName, parts)
     return counted.groupBy("stage", "model", "column_name", "test").agg(F.sum("failures").alias("failures"))
 

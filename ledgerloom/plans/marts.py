@@ -23,7 +23,14 @@ from ledgerloom.functions import (
     zero_if_null,
 )
 from ledgerloom.functions.numeric import TOTAL
-from ledgerloom.plans.staging import enrich_transactions, latest_scores, typed_source
+from ledgerloom.plans.staging import (
+    derive_transactions,
+    enrich_transactions,
+    latest_scores,
+    transaction_labels,
+    typed_source,
+)
+from ledgerloom.sources.dims import join_dim
 
 # The scoring tables of the customer value and fraud models.
 HORIZONS = (30, 90, 365)
@@ -373,12 +380,11 @@ TRANSACTION_GRAIN = (
 )
 
 
-def transaction_metrics(staged: DataFrame, grain: tuple[str, ...]) -> DataFrame:
+def transaction_metrics(staged: DataFrame, grain: tuple[str, ...], by_category: bool = True) -> DataFrame:
     """Volume, revenue and timing metrics at any grain; null grain values form groups."""
     done, amount, hour = F.col("is_completed"), F.col("amount_idr"), F.col("transaction_hour")
     paid = F.when(done, amount)
-    category = F.col("transaction_category")
-    night = ~hour.between(6, 22)
+    categories = ("debit", "credit") if by_category else ()
     return (
         staged.groupBy(*grain)
         .agg(
@@ -392,9 +398,12 @@ def transaction_metrics(staged: DataFrame, grain: tuple[str, ...]) -> DataFrame:
             safe_divide(F.sum(paid), F.count(paid)).alias("avg_amount_idr"),
             F.min(paid).alias("min_amount_idr"),
             F.max(paid).alias("max_amount_idr"),
-            *[money_sum((category == c) & done, amount).alias(f"total_{c}_idr") for c in ("debit", "credit")],
+            *[
+                money_sum((F.col("transaction_category") == c) & done, amount).alias(f"total_{c}_idr")
+                for c in categories
+            ],
             *[F.count_if(hour.between(*span)).alias(f"{part}_count") for part, span in DAY_PARTS.items()],
-            F.count_if(night).alias("offhours_count"),
+            F.count_if(~hour.between(6, 22)).alias("offhours_count"),
             safe_divide(F.count_if(done), F.count("*")).alias("success_rate"),
         )
         .withColumns(
@@ -407,8 +416,36 @@ def transaction_metrics(staged: DataFrame, grain: tuple[str, ...]) -> DataFrame:
 
 
 def mart_transaction_analytics(cat: Catalog) -> DataFrame:
-    metrics = transaction_metrics(cat.ref("stg_transactions"), TRANSACTION_GRAIN)
-    return metrics.withColumns(audit_columns(cat.ctx, "mart_transaction_analytics"))
+    """Daily metrics by channel, type, method, status and currency.
+
+    The labels follow from the type and method ids, so rows are grouped on the ids, an id without label
+    counting as none, and labelled afterwards: the shuffle carries two numbers instead of four texts.
+    """
+    types, methods = transaction_labels(cat)
+    known_types = types.select("type_id", F.col("type_id").alias("type_key"))
+    known_methods = methods.select("method_id", F.col("method_id").alias("method_key"))
+    derived = derive_transactions(cat, typed_source(cat, "transactions"))
+    keyed = join_dim(join_dim(derived, known_types, "type_id"), known_methods, "method_id")
+    slim = ("transaction_date", "channel", "type_key", "method_key", "transaction_status", "currency")
+    counted = transaction_metrics(keyed, slim, by_category=False)
+    labelled = join_dim(
+        join_dim(counted, types.withColumnRenamed("type_id", "type_key"), "type_key"),
+        methods.withColumnRenamed("method_id", "method_key"),
+        "method_key",
+    )
+    split = {
+        f"total_{c}_idr": F.when(F.col("transaction_category") == c, F.col("total_volume_idr")).otherwise(
+            F.lit(0).cast(TOTAL)
+        )
+        for c in ("debit", "credit")
+    }
+    metrics = [c for c in counted.columns if c not in slim]
+    before = metrics.index("morning_count")
+    return (
+        labelled.withColumns(split)
+        .select(*TRANSACTION_GRAIN, *metrics[:before], *split, *metrics[before:])
+        .withColumns(audit_columns(cat.ctx, "mart_transaction_analytics"))
+    )
 
 
 def npl_ratio(cat: Catalog, by: tuple[str, ...] = ("customer_segment",)) -> DataFrame:

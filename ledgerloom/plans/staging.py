@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.catalog import Catalog
 from ledgerloom.functions import (
@@ -37,11 +38,15 @@ def typed_source(cat: Catalog, name: str) -> DataFrame:
 
     ANSI casts make a value that does not fit its type an error rather than a silent null.
     """
-    df, schema = cat.source(name), SPECS[name].schema
-    present = set(df.columns)
-    return df.select(
-        [(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
-    )
+    df = cat.source(name)
+    given = {f.name: f.dataType for f in df.schema}
+
+    def typed(column: str, kind: T.DataType) -> str:
+        if given.get(column) == kind:
+            return f"`{column}`"
+        return f"CAST({f'`{column}`' if column in given else 'NULL'} AS {kind.simpleString()}) AS `{column}`"
+
+    return df.selectExpr(*[typed(f.name, f.dataType) for f in SPECS[name].schema])
 
 
 def _live(df: DataFrame) -> DataFrame:
@@ -203,12 +208,8 @@ def stg_merchants(cat: Catalog) -> DataFrame:
     )
 
 
-def enrich_transactions(cat: Catalog, rows: DataFrame) -> DataFrame:
-    """Add every derived transaction column to typed transaction rows; other columns pass through.
-
-    Separate from the staging model so that a mart which needs few transactions can join first and
-    enrich only what is left.
-    """
+def transaction_labels(cat: Catalog) -> tuple[DataFrame, DataFrame]:
+    """The labels of transaction types and of payment methods, by id."""
     types = typed_source(cat, "transaction_types").select(
         "type_id",
         F.col("type_code").alias("transaction_type_code"),
@@ -221,35 +222,45 @@ def enrich_transactions(cat: Catalog, rows: DataFrame) -> DataFrame:
         F.col("method_code").alias("payment_method_code"),
         F.col("method_name").alias("payment_method_name"),
     )
+    return types, methods
+
+
+def derive_transactions(cat: Catalog, rows: DataFrame) -> DataFrame:
+    """Add the columns that follow from a typed transaction row alone; other columns pass through."""
     day, at = F.col("transaction_date"), F.col("transaction_at")
     status = lower_trim("transaction_status")
     hour = F.hour(at)
-    directions = F.create_map(*[F.lit(x) for pair in DIRECTIONS.items() for x in pair])
-    return (
-        join_dim(join_dim(rows, types, "type_id"), methods, "method_id")
-        .withColumns(
-            {
-                "total_amount_idr": (F.col("amount_idr") + F.col("fee_amount")).cast("decimal(21,2)"),
-                "channel": lower_trim("channel"),
-                "transaction_status": status,
-                **{f"is_{s}": status == s for s in ("completed", "failed", "reversed", "pending")},
-                "amount_direction": F.coalesce(
-                    F.try_element_at(directions, F.coalesce("_category", F.lit(""))), F.lit("unknown")
-                ),
-                "transaction_hour": hour,
-                "transaction_day_of_week": F.dayofweek(at),
-                "transaction_month": F.month(day),
-                "transaction_year": F.year(day),
-                "transaction_month_key": month_key(day),
-                "is_business_day": is_business_day(day),
-                "is_off_hours": hour.between(0, 5),
-                "is_high_value": F.col("amount_idr") > cat.ctx.limits.high_value_idr,
-            }
-        )
-        .drop("_category")
+    return rows.withColumns(
+        {
+            "total_amount_idr": (F.col("amount_idr") + F.col("fee_amount")).cast("decimal(21,2)"),
+            "channel": lower_trim("channel"),
+            "transaction_status": status,
+            **{f"is_{s}": status == s for s in ("completed", "failed", "reversed", "pending")},
+            "transaction_hour": hour,
+            "transaction_day_of_week": F.dayofweek(at),
+            "transaction_month": F.month(day),
+            "transaction_year": F.year(day),
+            "transaction_month_key": month_key(day),
+            "is_business_day": is_business_day(day),
+            "is_off_hours": hour.between(0, 5),
+            "is_high_value": F.col("amount_idr") > cat.ctx.limits.high_value_idr,
+        }
     )
 
 
+def enrich_transactions(cat: Catalog, rows: DataFrame) -> DataFrame:
+    """Derived columns, labels and direction of typed transaction rows.
+
+    Separate from the staging model so that a mart which needs few transactions can join first and
+    enrich only what is left.
+    """
+    types, methods = transaction_labels(cat)
+    directions = F.create_map(*[F.lit(x) for pair in DIRECTIONS.items() for x in pair])
+    direction = F.try_element_at(directions, F.coalesce("_category", F.lit("")))
+    labelled = join_dim(join_dim(derive_transactions(cat, rows), types, "type_id"), methods, "method_id")
+    return labelled.withColumn("amount_direction", F.coalesce(direction, F.lit("unknown"))).drop("_category")
+
+
 def stg_transactions(cat: Catalog) -> DataFrame:
     return enrich_transactions(cat, typed_source(cat, "transactions")).select(
         *("transaction_id", "transaction_uuid", "account_id", "customer_id", "merchant_id"),

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.scheduler.mode": "FAIR",
+    # Building a plan makes thousands of Column calls; do not record a Python stack for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -330,12 +331,12 @@ MAPPINGS: dict[str, Mapping] = {
 }
 
 
-def spark_relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spark_relation(table: Callable[[str], DataFrame], name: str) -> DataFrame:
     m = MAPPINGS[name]
-    df = spark.read.parquet(f"{sf_dir}/{m.base}.parquet")
+    df = table(m.base)
     if m.join:
         other, on = m.join
-        df = df.join(spark.read.parquet(f"{sf_dir}/{other}.parquet"), F.expr(on))
+        df = df.join(table(other), F.expr(on))
     if m.fan:
         df = df.selectExpr("*", f"{SPARK['fan']} AS k")
     if m.derived:
@@ -375,6 +376,10 @@ def dim_source(spark: SparkSession, name: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
-    derived = {n: (lambda n=n: spark_relation(spark, sf_dir, n)) for n in MAPPINGS}
+    @lru_cache(maxsize=None)
+    def table(base: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{base}.parquet")
+
+    derived = {n: (lambda n=n: spark_relation(table, n)) for n in MAPPINGS}
     literal = {n: (lambda n=n: dim_source(spark, n)) for n in DIMS}
     return derived | literal
