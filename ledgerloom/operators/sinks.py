@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from ledgerloom.functions import partition_key
 from ledgerloom.operators.ingest import added_columns
@@ -19,6 +20,11 @@ from ledgerloom.sources.contracts import TableSpec
 PART = "part_key"
 
 
+def ensure_schema(spark: SparkSession, schema: str, warehouse: str) -> None:
+    """Create a namespace that lives in the given warehouse folder."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{warehouse}/{schema}'")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``; in local mode a new temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -55,17 +61,21 @@ def staged(spark: SparkSession, root: str | None = None) -> Iterator[str]:
         remove_path(spark, path)
 
 
-def cluster_rows(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
-    """Bring rows of one partition and cluster value together and sort them, for block skipping.
+def cluster_rows(
+    df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str], one_partition: bool = False
+) -> DataFrame:
+    """Lay rows out for writing: few files per partition, each sorted by the cluster columns.
 
-    REBALANCE lets adaptive execution split an oversized group over several tasks and merge small ones,
-    so a table whose rows all share one date still writes in parallel, in files of even size.
+    Rows are gathered by partition value, so a partition is written by one task, not by all of them.
+    REBALANCE lets adaptive execution split a value that is too large for one task and merge small ones.
+    When all rows share one partition value they are gathered by the cluster columns instead.
     """
-    names = list(dict.fromkeys([*partition_by, *cluster_by]))
-    if not names:
+    balance = cluster_by if one_partition or not partition_by else partition_by
+    if not balance:
         return df
-    balanced = df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(names)}) */ * FROM {{df}}", df=df)
-    return balanced.sortWithinPartitions(*names)
+    hint = f"REBALANCE({', '.join(balance)})"
+    balanced = df.sparkSession.sql(f"SELECT /*+ {hint} */ * FROM {{df}}", df=df)
+    return balanced.sortWithinPartitions(*dict.fromkeys([*partition_by, *cluster_by]))
 
 
 def write_clustered(
@@ -74,28 +84,29 @@ def write_clustered(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     *,
-    replace: str = "table",
+    daily_snapshot: bool = False,
     table: str | None = None,
 ) -> None:
-    """Write parquet, partitioned and clustered.
+    """Write parquet, partitioned and clustered, replacing what is there.
 
-    ``replace="table"`` rebuilds everything; ``"partitions"`` replaces only the partitions present in
-    ``df``, which is how a daily snapshot keeps its earlier days.
+    A ``daily_snapshot`` holds one partition value and replaces only that partition, so that the earlier
+    days stay.
     """
-    mode = {"table": "static", "partitions": "dynamic"}[replace]
+    spark = df.sparkSession
+    mode = "dynamic" if daily_snapshot else "static"
     writer = (
-        cluster_rows(df, partition_by, cluster_by)
+        cluster_rows(df, partition_by, cluster_by, daily_snapshot)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*partition_by)
     )
     if table is None:
         writer.parquet(path)
-    elif replace == "table" or not df.sparkSession.catalog.tableExists(table):
+    elif not daily_snapshot or not spark.catalog.tableExists(table):
         writer.option("path", path).format("parquet").saveAsTable(table)
     else:
         writer.parquet(path)
-        _register_partitions(df.sparkSession, table, bool(partition_by))
+        _register_partitions(spark, table)
 
 
 def with_partition(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -130,16 +141,19 @@ def merge_into_table(
         if not path_exists(spark, f"{location}/_SUCCESS"):
             write_raw(incoming, spec, location, table)
             return "created"
-        spark.catalog.createTable(table, path=location, source="parquet")  # written by an earlier session
-        _register_partitions(spark, table, True)
+        # Written by an earlier session. Older partitions may lack later columns, so footers are merged.
+        schema = spark.read.option("mergeSchema", "true").parquet(location).schema
+        spark.sql(
+            f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet PARTITIONED BY ({PART}) LOCATION '{location}'"
+        )
+        _register_partitions(spark, table)
 
     landed = with_partition(incoming, spec)
     landed.write.parquet(f"{stage}/increment")  # read several times below
     increment = spark.read.schema(landed.schema).parquet(f"{stage}/increment")
     new = added_columns(spark.table(table), increment)
     if new:
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ddl})")
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_ddl(new)})")
     outcome = "added:" + ",".join(f.name for f in new) if new else "no_changes"
     if increment.isEmpty():
         remove_path(spark, stage)
@@ -172,12 +186,15 @@ def _finish_swap(spark: SparkSession, table: str, location: str, stage: str) ->
         for (emptied,) in spark.read.parquet(f"{stage}/ready").collect():
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PART}={emptied})")
             remove_path(spark, f"{location}/{PART}={emptied}")
-        _register_partitions(spark, table, True)
+        _register_partitions(spark, table)
     if path_exists(spark, stage):
         remove_path(spark, stage)
 
 
-def _register_partitions(spark: SparkSession, table: str, partitioned: bool) -> None:
-    if partitioned:
-        spark.catalog.recoverPartitions(table)
+def _register_partitions(spark: SparkSession, table: str) -> None:
+    spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
+
+
+def _ddl(fields: Iterable[StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

@@ -16,7 +16,7 @@ from ledgerloom.operators.ingest import Window, freshness, project_cast, window_
 from ledgerloom.operators.merge import merge_upsert
 from ledgerloom.operators.quality import SINGULAR, Check, gate, quality_report, violations
 from ledgerloom.operators.ranking import dedup_latest
-from ledgerloom.operators.sinks import merge_into_table, write_clustered
+from ledgerloom.operators.sinks import ensure_schema, merge_into_table, write_clustered
 from ledgerloom.plans.checks import ALL_CHECKS
 from ledgerloom.plans.marts import MARTS
 from ledgerloom.plans.staging import STAGING, typed_source
@@ -92,10 +92,11 @@ def ingest_tables(
     parallel: int = 4,
 ) -> dict[str, str]:
     """Independent tables in parallel: the threads only submit jobs, the executors do the work."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    ensure_schema(spark, schema, warehouse)
 
     @inheritable_thread_target(spark)
     def run(spec: TableSpec) -> tuple[str, str]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)  # fair shares between tables
         return spec.name, ingest_table(spark, spec, source(spec.name), window, schema, warehouse)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
@@ -106,7 +107,7 @@ def backfill(
     spark: SparkSession, spec: TableSpec, source: DataFrame, windows: Sequence[Window], schema: str, warehouse: str
 ) -> list[str]:
     """Stored runs over successive windows, oldest first, one at a time."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    ensure_schema(spark, schema, warehouse)
     return [ingest_table(spark, spec, source, w, schema, warehouse) for w in windows]
 
 
@@ -140,14 +141,14 @@ def build_mart(spark: SparkSession, cat: Catalog, name: str, warehouse: str) ->
     """Write one mart to its table and let later models and tests read that table."""
     layout = LAYOUTS[name]
     schema = target_schema(cat.ctx.env, "marts", layout.schema)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    ensure_schema(spark, schema, warehouse)
     table, path = f"{schema}.{name}", f"{warehouse}/{schema}/{name}"
     write_clustered(
         cat.ref(name),
         path,
         layout.partition_by,
         layout.cluster_by,
-        replace="partitions" if layout.daily_snapshot else "table",
+        daily_snapshot=layout.daily_snapshot,
         table=table,
     )
     stored = spark.table(table)
@@ -185,7 +186,7 @@ def freshness_report(cat: Catalog, names: Sequence[str]) -> DataFrame:
 def snapshot_customers(spark: SparkSession, cat: Catalog, warehouse: str) -> str:
     """Fold today's customers into their history. The new history is complete before it takes over."""
     schema = target_schema(cat.ctx.env, "snapshots", "snapshots")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    ensure_schema(spark, schema, warehouse)
     table = f"{schema}.snap_customers"
     current = (
         typed_source(cat, "customers").where("deleted_at IS NULL").select(*TRACKED_CUSTOMER_COLUMNS)

@@ -307,7 +307,7 @@ def _(spark, cat, sf):
     mart = cat.ref("mart_credit_risk")
     yesterday = mart.withColumn("snapshot_date", F.date_sub("snapshot_date", 1))
     for df in (yesterday, mart, mart):
-        sinks.write_clustered(df, path, layout.partition_by, layout.cluster_by, replace="partitions")
+        sinks.write_clustered(df, path, layout.partition_by, layout.cluster_by, daily_snapshot=True)
     return spark.read.parquet(path).where(F.col("snapshot_date") == fn.date_lit(AS_OF))
 
 

@@ -141,7 +141,7 @@ def test_daily_snapshots_accumulate(spark, tmp_path):
     df = spark.range(4).withColumn("d", F.lit(date(2024, 1, 1)))
     path = str(tmp_path / "m")
     for day in (date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 2)):
-        sinks.write_clustered(df.withColumn("d", F.lit(day)), path, ["d"], ["id"], replace="partitions")
+        sinks.write_clustered(df.withColumn("d", F.lit(day)), path, ["d"], ["id"], daily_snapshot=True)
     assert spark.read.parquet(path).count() == 8
     sinks.write_clustered(df, path, ["d"], ["id"])
     assert spark.read.parquet(path).count() == 4
