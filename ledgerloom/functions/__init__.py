@@ -14,6 +14,7 @@ from ledgerloom.functions.dates import (
     calendar_months,
     calendar_years,
     date_lit,
+    date_part,
     days_between,
     is_business_day,
     month_key,
@@ -32,6 +33,7 @@ __all__ = [
     "calendar_years",
     "credit_band",
     "date_lit",
+    "date_part",
     "days_between",
     "dpd_bucket",
     "income_band_sort",

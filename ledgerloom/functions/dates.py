@@ -2,7 +2,7 @@
 
 YEAR and MONTH differences count calendar boundaries (31 Dec to 1 Jan is one year); hour differences
 count whole elapsed hours. Timestamps are wall-clock (``timestamp_ntz``), so no result depends on the
-session time zone.
+session time zone. Differences and date parts are bigint, the warehouse's only integer.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ def ts_lit(ts: datetime | str) -> Column:
 
 
 def days_between(end: Column, start: Column) -> Column:
-    return F.datediff(end, start)
+    return F.datediff(end, start).cast("bigint")
 
 
 def calendar_years(end: Column, start: Column) -> Column:
-    return F.year(end) - F.year(start)
+    return (F.year(end) - F.year(start)).cast("bigint")
 
 
 def calendar_months(end: Column, start: Column) -> Column:
@@ -40,6 +40,11 @@ def whole_hours(end: Column, start: Column) -> Column:
     return F.timestamp_diff("HOUR", start, end)
 
 
+def date_part(field: str, c: Column) -> Column:
+    """A calendar or clock field as a number; DAYOFWEEK numbers Sunday as 1."""
+    return F.date_part(F.lit(field), c).cast("bigint")
+
+
 def is_business_day(d: Column) -> Column:
     """Monday to Friday; there is no holiday calendar. ``dayofweek`` numbers Sunday as 1."""
     return ~F.dayofweek(d).isin(1, 7)

@@ -173,7 +173,7 @@ FROM raw_transactions WHERE transaction_date IN (DATE '2001-07-15', {TODAY} - 1)
 # ---- sinks --------------------------------------------------------------------------------------------
 
 SQL["sink_raw_partitioned"] = """
-SELECT year(updated_at) * 100 + month(updated_at) AS part_key, count(*) AS rows, min(updated_at) AS first_update,
+SELECT CAST(year(updated_at) * 100 + month(updated_at) AS INT) AS part_key, count(*) AS rows, min(updated_at) AS first_update,
   max(updated_at) AS last_update, CAST(sum(amount_idr) AS DOUBLE) AS amount_idr
 FROM raw_transactions GROUP BY 1"""
 SQL["sink_cleanup"] = """

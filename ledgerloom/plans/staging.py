@@ -13,6 +13,7 @@ from ledgerloom.functions import (
     calendar_years,
     credit_band,
     date_lit,
+    date_part,
     days_between,
     is_business_day,
     lower_trim,
@@ -229,7 +230,7 @@ def derive_transactions(cat: Catalog, rows: DataFrame) -> DataFrame:
     """Add the columns that follow from a typed transaction row alone; other columns pass through."""
     day, at = F.col("transaction_date"), F.col("transaction_at")
     status = lower_trim("transaction_status")
-    hour = F.hour(at)
+    hour = date_part("HOUR", at)
     return rows.withColumns(
         {
             "total_amount_idr": (F.col("amount_idr") + F.col("fee_amount")).cast("decimal(21,2)"),
@@ -237,9 +238,9 @@ def derive_transactions(cat: Catalog, rows: DataFrame) -> DataFrame:
             "transaction_status": status,
             **{f"is_{s}": status == s for s in ("completed", "failed", "reversed", "pending")},
             "transaction_hour": hour,
-            "transaction_day_of_week": F.dayofweek(at),
-            "transaction_month": F.month(day),
-            "transaction_year": F.year(day),
+            "transaction_day_of_week": date_part("DAYOFWEEK", at),
+            "transaction_month": date_part("MONTH", day),
+            "transaction_year": date_part("YEAR", day),
             "transaction_month_key": month_key(day),
             "is_business_day": is_business_day(day),
             "is_off_hours": hour.between(0, 5),

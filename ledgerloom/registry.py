@@ -696,10 +696,10 @@ def _register_functions() -> None:
         "fn_extract",
         "transactions",
         lambda: dict(
-            hour_of_day=F.hour("transaction_at"),
-        weekday=F.dayofweek("transaction_at"),
-        month_of_year=F.month("transaction_date"),
-        year_no=F.year("transaction_date"),
+            hour_of_day=fn.date_part("HOUR", c("transaction_at")),
+        weekday=fn.date_part("DAYOFWEEK", c("transaction_at")),
+        month_of_year=fn.date_part("MONTH", c("transaction_date")),
+        year_no=fn.date_part("YEAR", c("transaction_date")),
         ),
     )
     _project(

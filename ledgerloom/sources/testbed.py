@@ -162,9 +162,9 @@ MAPPINGS: dict[str, Mapping] = {
             "customer_id": _CUST,
             "merchant_id": f"CASE WHEN {_T} % 15 + 1 IN (1, 2, 10) THEN {_T} % 10 END",
             "type_id": f"{_T} % 15 + 1",
-            "method_id": f"CASE WHEN ({_T} * 31) % 103 < 41 THEN 7 WHEN ({_T} * 31) % 103 < 62 THEN 1"
+            "method_id": f"cast(CASE WHEN ({_T} * 31) % 103 < 41 THEN 7 WHEN ({_T} * 31) % 103 < 62 THEN 1"
             f" WHEN ({_T} * 31) % 103 < 77 THEN 8 WHEN ({_T} * 31) % 103 < 92 THEN 1"
-            f" WHEN ({_T} * 31) % 103 < 97 THEN 6 END",
+            f" WHEN ({_T} * 31) % 103 < 97 THEN 6 END as bigint)",
             "amount": "cast(o_totalprice * 120 as decimal(20,2))",
             "currency": "'IDR'",
             "exchange_rate": "cast(1 as decimal(15,6))",
