@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
 from ledgerloom.functions import partition_key
+from ledgerloom.operators.history import apply_snapshot, first_versions
 from ledgerloom.operators.ingest import added_columns
 from ledgerloom.operators.merge import merge_upsert
 from ledgerloom.operators.ranking import dedup_latest
@@ -173,6 +175,65 @@ def merge_into_table(
     return outcome
 
 
+def merge_into_row_level_table(
+    spark: SparkSession, incoming: DataFrame, table: str, spec: TableSpec, tie_break: Sequence[str] = ()
+) -> None:
+    """The same merge for a table format with row-level updates, which does it atomically by itself."""
+    source = dedup_latest(incoming, [spec.key], spec.loaded_at, tie_break)
+    spark.sql(
+        f"""
+        MERGE WITH SCHEMA EVOLUTION INTO {table} AS t USING {{source}} AS s ON t.{spec.key} = s.{spec.key}
+        WHEN MATCHED AND s.{spec.loaded_at} > t.{spec.loaded_at} THEN UPDATE SET *
+        WHEN NOT MATCHED THEN INSERT *
+        """,
+        source=source,
+    )
+
+
+def store_snapshot(
+    spark: SparkSession, current: DataFrame, view: str, key: str, as_of: datetime, location: str
+) -> None:
+    """Fold the current state of a table into its stored history, shown by a view.
+
+    Versions that were closed before are never read or written again: each run writes the open versions,
+    and the versions it closed, under its own number, and then points the view at that number. A run that
+    dies before that leaves the view as it was, and the next attempt has the same number and overwrites
+    its leavings.
+    """
+    if spark.catalog.tableExists(view):
+        last = int(spark.sql(f"SHOW TBLPROPERTIES {view} ('run')").first()["value"])
+        history = spark.read.parquet(f"{location}/open/run={last}")
+        state = apply_snapshot(history, current, key, as_of)
+    elif path_exists(spark, f"{location}/open"):
+        raise RuntimeError(f"{location} holds a history, but the view {view} is missing; restore it first")
+    else:
+        last, state = -1, first_versions(current, key)
+    run = last + 1
+    # Both writes come from one computed relation, so they cannot disagree.
+    with staged(spark, location) as folded:
+        state.write.parquet(folded)
+        state = spark.read.schema(state.schema).parquet(folded)
+        for part, ended in (("open", False), ("closed", True)):
+            rows = state.where(F.col("valid_to").isNotNull() == ended)
+            rows.write.mode("overwrite").parquet(f"{location}/{part}/run={run}")
+    columns = ", ".join(f"`{c}`" for c in state.columns)
+    ddl = _ddl(state.schema)
+    for part in ("open", "closed"):
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {view}_{part} ({ddl}, run INT) USING parquet PARTITIONED BY (run)"
+            f" LOCATION '{location}/{part}'"
+        )
+        _register_partitions(spark, f"{view}_{part}")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('run' = '{run}') AS"
+        f" SELECT {columns} FROM {view}_closed WHERE run <= {run}"
+        f" UNION ALL SELECT {columns} FROM {view}_open WHERE run = {run}"
+    )
+    if last > 0:  # keep the previous open set for readers still on it
+        spark.sql(f"ALTER TABLE {view}_open DROP IF EXISTS PARTITION (run={last - 1})")
+        remove_path(spark, f"{location}/open/run={last - 1}")
+
+
 def _finish_swap(spark: SparkSession, table: str, location: str, stage: str) -> None:
     if path_exists(spark, f"{stage}/ready/_SUCCESS"):
         (

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.catalog import Catalog
 from ledgerloom.config import target_schema
-from ledgerloom.operators.history import TRACKED_CUSTOMER_COLUMNS, apply_snapshot, first_versions
+from ledgerloom.operators.history import TRACKED_CUSTOMER_COLUMNS
 from ledgerloom.operators.ingest import Window, freshness, project_cast, window_filter
 from ledgerloom.operators.merge import merge_upsert
 from ledgerloom.operators.quality import SINGULAR, Check, gate, quality_report, violations
 from ledgerloom.operators.ranking import dedup_latest
-from ledgerloom.operators.sinks import ensure_schema, merge_into_table, write_clustered
+from ledgerloom.operators.sinks import ensure_schema, merge_into_table, store_snapshot, write_clustered
 from ledgerloom.plans.checks import ALL_CHECKS
 from ledgerloom.plans.marts import MARTS
 from ledgerloom.plans.staging import STAGING, typed_source
@@ -184,28 +184,13 @@ def freshness_report(cat: Catalog, names: Sequence[str]) -> DataFrame:
 
 
 def snapshot_customers(spark: SparkSession, cat: Catalog, warehouse: str) -> str:
-    """Fold today's customers into their history. The new history is complete before it takes over."""
+    """Fold today's live customers into their history; the source table is read, not the staging model."""
     schema = target_schema(cat.ctx.env, "snapshots", "snapshots")
     ensure_schema(spark, schema, warehouse)
-    table = f"{schema}.snap_customers"
-    current = (
-        typed_source(cat, "customers").where("deleted_at IS NULL").select(*TRACKED_CUSTOMER_COLUMNS)
-    )
-    if spark.catalog.tableExists(table):
-        history = apply_snapshot(spark.table(table), current, "customer_id", cat.ctx.now)
-    else:
-        history = first_versions(current, "customer_id")
-    run = cat.ctx.now.strftime("%Y%m%dT%H%M%S")
-    version = f"{schema}.snap_customers_{run}"
-    path = f"{warehouse}/{schema}/snap_customers/{run}"
-    if spark.catalog.tableExists(version):
-        return table  # this run was already folded in
-    history.write.mode("overwrite").option("path", path).format("parquet").saveAsTable(version)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER VIEW {table} AS SELECT * FROM {version}")
-    else:
-        spark.sql(f"CREATE VIEW {table} AS SELECT * FROM {version}")
-    return table
+    current = typed_source(cat, "customers").where("deleted_at IS NULL").select(*TRACKED_CUSTOMER_COLUMNS)
+    view = f"{schema}.snap_customers"
+    store_snapshot(spark, current, view, "customer_id", cat.ctx.now, f"{warehouse}/{schema}/snap_customers")
+    return view
 
 
 class PipelineBlocked(RuntimeError):

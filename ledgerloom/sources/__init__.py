@@ -1,6 +1,12 @@
 from ledgerloom.sources.contracts import CORE, SPECS, TRANSACTIONS, TableSpec
 from ledgerloom.sources.dims import DIMS, join_dim, reference_dim
-from ledgerloom.sources.readers import jdbc_options, month_predicates, read_source
+from ledgerloom.sources.readers import (
+    jdbc_options,
+    month_predicates,
+    read_source,
+    sources_from_path,
+    sources_from_tables,
+)
 
 __all__ = [
     "CORE",
@@ -13,4 +19,6 @@ __all__ = [
     "month_predicates",
     "read_source",
     "reference_dim",
+    "sources_from_path",
+    "sources_from_tables",
 ]

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.config import BUSINESS_ZONE
-from ledgerloom.sources.contracts import CORE, TRANSACTIONS, TableSpec
+from ledgerloom.sources.contracts import CORE, SPECS, TRANSACTIONS, TableSpec
 
 _DRIVERS = {CORE: "org.postgresql.Driver", TRANSACTIONS: "com.mysql.cj.jdbc.Driver"}
 _SCHEMA_PREFIX = {CORE: "public.", TRANSACTIONS: ""}
@@ -81,3 +81,17 @@ def read_source(
     if table is not None:
         return spark.table(table)
     return spark.read.format("jdbc").options(**jdbc_options(spec, connection, bounds)).load()
+
+
+def sources_from_tables(spark: SparkSession, schemas: Mapping[str, str]) -> dict[str, Callable[[], DataFrame]]:
+    """Catalog sources from raw tables: system name -> schema, e.g. ``{"core_banking": "raw_core"}``."""
+    return {
+        n: (lambda s=s: read_source(spark, s, table=f"{schemas[s.system]}.{s.name}"))
+        for n, s in SPECS.items()
+        if s.system in schemas
+    }
+
+
+def sources_from_path(spark: SparkSession, root: str) -> dict[str, Callable[[], DataFrame]]:
+    """Catalog sources from parquet folders or files ``<root>/<table>.parquet``."""
+    return {n: (lambda s=s: read_source(spark, s, path=f"{root}/{s.name}.parquet")) for n, s in SPECS.items()}

@@ -1,18 +1,22 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from helpers import CTX, mini, rows
+from ledgerloom.catalog import Catalog
 from ledgerloom.operators import sinks
 from ledgerloom.operators.ingest import Window
 from ledgerloom.operators.merge import merge_upsert
 from ledgerloom.plans import pipeline
 from ledgerloom.plans.checks import ALL_CHECKS
+from ledgerloom.sources import sources_from_path, sources_from_tables
 from ledgerloom.sources.contracts import SPECS, TableSpec
 from ledgerloom.streaming import stream_upsert
 from test_models import customer_world
@@ -185,18 +189,59 @@ def test_pipeline_runs(spark, tmp_path):
     assert [r.customer_id for r in kept.collect()] == [2]
 
 
-def test_customer_snapshot_runs(spark, tmp_path):
-    from dataclasses import replace
+def snapshot_world(spark, day, *customers):
+    ctx = replace(CTX, as_of=day, as_of_ts=None, env="ci")
+    return mini(spark, ctx, customers=rows(spark, "customers", *customers))
 
-    def world(day, *customers):
-        ctx = replace(CTX, as_of=day, as_of_ts=None, env="ci")
-        return mini(spark, ctx, customers=rows(spark, "customers", *customers))
 
-    row = lambda i, day, **more: {"customer_id": i, "updated_at": datetime(2024, 1, day)} | more
+def customer(i, day, **more):
+    return {"customer_id": i, "updated_at": datetime(2024, 1, day)} | more
+
+
+def test_customer_snapshot_runs(spark, tmp_path, monkeypatch):
     w = str(tmp_path)
-    pipeline.snapshot_customers(spark, world(date(2024, 2, 1), row(1, 1), row(2, 1)), w)
-    later = world(date(2024, 2, 2), row(1, 5, customer_segment="sme"), row(2, 1, deleted_at=datetime(2024, 2, 1)))
-    for _ in range(2):  # the second call repeats a finished run
-        table = pipeline.snapshot_customers(spark, later, w)
-    got = sorted((r.customer_id, r.valid_from, r.valid_to) for r in spark.table(table).collect())
-    assert [(k, f.day, t and (t.month, t.day)) for k, f, t in got] == [(1, 1, (1, 5)), (1, 5, None), (2, 1, (2, 2))]
+    run = lambda *args: pipeline.snapshot_customers(spark, snapshot_world(spark, *args), w)
+    history = lambda: {
+        (r.customer_id, r.valid_from.day, r.valid_to and (r.valid_to.month, r.valid_to.day))
+        for r in spark.table("ci_snapshots.snap_customers").collect()
+    }
+    run(date(2024, 2, 1), customer(1, 1), customer(2, 1))
+    assert history() == {(1, 1, None), (2, 1, None)}
+    later = (date(2024, 2, 2), customer(1, 5, customer_segment="sme"), customer(2, 1, deleted_at=datetime(2024, 2, 1)))
+    # The driver dies after the files are written and before the view moves.
+    real = sinks._register_partitions
+    monkeypatch.setattr(sinks, "_register_partitions", lambda *a: (_ for _ in ()).throw(ConnectionError()))
+    with pytest.raises(ConnectionError):
+        run(*later)
+    monkeypatch.setattr(sinks, "_register_partitions", real)
+    assert history() == {(1, 1, None), (2, 1, None)}
+    want = {(1, 1, (1, 5)), (1, 5, None), (2, 1, (2, 2))}
+    for _ in range(3):  # repeated runs change nothing
+        run(*later)
+        assert history() == want and spark.table("ci_snapshots.snap_customers").count() == 3
+    run(date(2024, 2, 3), customer(1, 5), customer(2, 1))  # 2 is back, with its old time
+    assert history() == want | {(2, 1, None)}
+    spark.sql("DROP VIEW ci_snapshots.snap_customers")
+    with pytest.raises(RuntimeError, match="restore it first"):
+        run(*later)
+
+
+def test_row_level_merge_needs_a_capable_format(spark, place):
+    table, path = place
+    frame(spark, (1, "a", 0)).write.option("path", path).saveAsTable(table)
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO TABLE"):
+        sinks.merge_into_row_level_table(spark, frame(spark, (1, "b", 1)), table, SPEC)
+
+
+def test_catalog_from_stored_tables(spark, tmp_path, bed):
+    schema, whole = "raw_cat", Window(datetime(1990, 1, 1), datetime(2010, 1, 1))
+    core = [s for s in SPECS.values() if s.system == "core_banking"]
+    pipeline.ingest_tables(spark, core, bed.source, whole, schema, str(tmp_path))
+    cat = Catalog(sources_from_tables(spark, {"core_banking": schema}), bed.ctx)
+    mine, theirs = cat.ref("stg_customers"), bed.ref("stg_customers")
+    assert mine.exceptAll(theirs).count() == 0 and mine.count() == theirs.count()
+    with pytest.raises(KeyError, match="no source named 'transactions'"):
+        cat.ref("stg_transactions")
+    bed.source("merchants").write.parquet(str(tmp_path / "merchants.parquet"))
+    files = Catalog(sources_from_path(spark, str(tmp_path)), bed.ctx)
+    assert files.source("merchants").count() == bed.source("merchants").count()
