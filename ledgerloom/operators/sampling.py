@@ -37,7 +37,11 @@ def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) ->
     cut = (
         counts.select("_b", "_n", F.sum("_n").over(upto).alias("_cum"), quota.alias("_quota"))
         .where((F.col("_cum") - F.col("_n")) < F.col("_quota"))
-        .select("_b", (F.col("_quota") - F.col("_cum") + F.col("_n")).alias("_left"), (F.col("_cum") > F.col("_quota")).alias("_split"))
+        .select(
+            "_b",
+            (F.col("_quota") - F.col("_cum") + F.col("_n")).alias("_left"),
+            (F.col("_cum") > F.col("_quota")).alias("_split"),
+        )
     )
     # cut holds at most one row per bucket, so it is broadcast safely.
     chosen = hashed.join(F.broadcast(cut), "_b")

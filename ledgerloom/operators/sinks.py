@@ -111,6 +111,29 @@ def write_clustered(
         _register_partitions(spark, table)
 
 
+def rebuild_table(
+    df: DataFrame, name: str, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+) -> None:
+    """Replace a whole table without a moment in which it is missing or half written.
+
+    The new build is a table of its own; a view takes the name over once the build is complete, and earlier
+    builds, also abandoned ones, are removed.
+    """
+    spark = df.sparkSession
+    build = f"{name.rpartition('.')[2]}__b{uuid.uuid4().hex[:12]}"
+    schema = name.rpartition(".")[0]
+    full = f"{schema}.{build}" if schema else build
+    write_clustered(df, f"{path}/{build}", partition_by, cluster_by, table=full)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {full}")
+    prefix = build.rpartition("__b")[0] + "__b"
+    fs, folder = _fs(spark, path)
+    for child in fs.listStatus(folder):
+        old = child.getPath().getName()
+        if old.startswith(prefix) and old != build:
+            spark.sql(f"DROP TABLE IF EXISTS {schema + '.' if schema else ''}{old}")
+            fs.delete(child.getPath(), True)
+
+
 def with_partition(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Add the raw table's partition value, by month or day of its load time; 0 where that is null."""
     value = partition_key(F.to_date(spec.loaded_at), spec.granularity)

@@ -16,7 +16,13 @@ from ledgerloom.operators.ingest import Window, freshness, project_cast, window_
 from ledgerloom.operators.merge import merge_upsert
 from ledgerloom.operators.quality import SINGULAR, Check, gate, quality_report, violations
 from ledgerloom.operators.ranking import dedup_latest
-from ledgerloom.operators.sinks import ensure_schema, merge_into_table, store_snapshot, write_clustered
+from ledgerloom.operators.sinks import (
+    ensure_schema,
+    merge_into_table,
+    rebuild_table,
+    store_snapshot,
+    write_clustered,
+)
 from ledgerloom.plans.checks import ALL_CHECKS
 from ledgerloom.plans.marts import MARTS
 from ledgerloom.plans.staging import STAGING, typed_source
@@ -143,14 +149,12 @@ def build_mart(spark: SparkSession, cat: Catalog, name: str, warehouse: str) ->
     schema = target_schema(cat.ctx.env, "marts", layout.schema)
     ensure_schema(spark, schema, warehouse)
     table, path = f"{schema}.{name}", f"{warehouse}/{schema}/{name}"
-    write_clustered(
-        cat.ref(name),
-        path,
-        layout.partition_by,
-        layout.cluster_by,
-        daily_snapshot=layout.daily_snapshot,
-        table=table,
-    )
+    if layout.daily_snapshot:
+        write_clustered(
+            cat.ref(name), path, layout.partition_by, layout.cluster_by, daily_snapshot=True, table=table
+        )
+    else:
+        rebuild_table(cat.ref(name), table, path, layout.partition_by, layout.cluster_by)
     stored = spark.table(table)
     if layout.daily_snapshot:
         stored = stored.where(stored.snapshot_date == cat.ctx.as_of)
@@ -158,6 +162,20 @@ def build_mart(spark: SparkSession, cat: Catalog, name: str, warehouse: str) ->
     return table
 
 
+def build_marts(spark: SparkSession, cat: Catalog, warehouse: str) -> list[str]:
+    """Write all marts: the customer, risk and finance domains in parallel, each domain in model order."""
+    domains: dict[str, list[str]] = {}
+    for name in MARTS:
+        domains.setdefault(LAYOUTS[name].schema, []).append(name)
+
+    @inheritable_thread_target(spark)
+    def build(names: list[str]) -> list[str]:
+        return [build_mart(spark, cat, n, warehouse) for n in names]
+
+    with ThreadPoolExecutor(max_workers=len(domains)) as pool:
+        return [table for tables in pool.map(build, domains.values()) for table in tables]
+
+
 def store_failures(
     spark: SparkSession, cat: Catalog, checks: Sequence[Check], report: DataFrame, root: str
 ) -> dict[str, str]:
@@ -218,7 +236,7 @@ def run_pipeline(
     result: dict[str, object] = {"freshness": fresh, "views": views, "failures": {}}
     for stage in ("staging", "marts"):
         if stage == "marts":
-            result["tables"] = [build_mart(spark, cat, m, warehouse) for m in MARTS]
+            result["tables"] = build_marts(spark, cat, warehouse)
         mine = [c for c in checks if c.stage == stage]
         path = f"{warehouse}/test_results/{stage}"
         quality_report(spark, cat, mine).write.mode("overwrite").parquet(path)

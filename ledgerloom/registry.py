@@ -893,7 +893,7 @@ def _(spark, cat, sf):
 def _(spark, cat, sf):
     events = spark.read.parquet(f"{sf}/events.parquet").schema
     # A glob, because a stream over a plain path insists on a folder and the table may be a single file.
-    stream = spark.readStream.schema(events).option("maxFilesPerTrigger", 16).parquet(f"{sf}/{{events.parquet}}")
+    stream = spark.readStream.schema(events).parquet(f"{sf}/{{events.parquet}}")
     mapping = testbed.MAPPINGS["change_feed"]
     changes = stream.selectExpr(*[f"{e} AS {c}" for c, e in mapping.cols.items()])
     root, table = scratch(spark, "stream"), f"stream_{uuid.uuid4().hex[:12]}"

@@ -151,6 +151,23 @@ def test_daily_snapshots_accumulate(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_rebuild_keeps_the_table_until_the_new_one_is_whole(spark, tmp_path):
+    sinks.ensure_schema(spark, "rebuilt", str(tmp_path))
+    path, name = str(tmp_path / "m"), "rebuilt.m"
+    for n in (3, 5):
+        sinks.rebuild_table(spark.range(n).withColumn("d", F.lit(1)), name, path, ["d"], ["id"])
+        assert spark.table(name).count() == n
+    broken = spark.range(9).withColumn("d", F.raise_error(F.lit("bad row")))
+    with pytest.raises(Exception, match="bad row"):
+        sinks.rebuild_table(broken, name, path, (), ["id"])
+    assert spark.table(name).count() == 5
+    assert len(list(Path(path).glob("m__b*/_SUCCESS"))) == 1
+    # A run may read the table it replaces.
+    sinks.rebuild_table(spark.table(name).where("id < 2"), name, path)
+    assert spark.table(name).count() == 2
+    assert len(list(Path(path).glob("m__b*"))) == 1
+
+
 def test_partition_pruning(spark, tmp_path):
     path = str(tmp_path / "raw")
     sinks.write_raw(frame(spark, (1, "a", 0), (2, "b", 40)), SPEC, path)
