@@ -28,7 +28,7 @@ def rows_of(columns, raw):
 
 def connect(sf_dir):
     con = duckdb.connect()
-    for f in sorted(os.listdir(sf_dir)):
+    for f in sorted(f for f in os.listdir(sf_dir) if f.endswith(".parquet")):
         con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{sf_dir}/{f}'")
     return con
 
