@@ -12,6 +12,7 @@ from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.catalog import Catalog
 from ledgerloom.config import Thresholds
@@ -99,17 +100,29 @@ def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def _unique(cat: Catalog, checks: Sequence[Check]) -> DataFrame:
     """Duplicated values of any number of columns and relations, in one shuffle.
 
-    Every value travels with the number of its check; equal pairs are counted on the map side first.
+    Every value travels with the number of its check, whole numbers as such and all else as text; equal
+    pairs are counted on the map side first.
     """
     numbered = list(enumerate(checks))
     parts = []
     for model, group in groupby(numbered, key=lambda x: x[1].model):
-        pairs = [F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")) for i, c in group]
-        parts.append(cat.relation(model).select(F.inline(F.array(*pairs))))
+        df = cat.relation(model)
+        pairs = []
+        for i, check in group:
+            whole = isinstance(df.schema[check.column].dataType, T.IntegralType)
+            number, text = (F.col(check.column), None) if whole else (None, F.col(check.column))
+            pairs.append(
+                F.struct(
+                    F.lit(i).alias("i"),
+                    (F.lit(None) if number is None else number).cast("bigint").alias("n_value"),
+                    (F.lit(None) if text is None else text).cast("string").alias("t_value"),
+                )
+            )
+        parts.append(df.select(F.inline(F.array(*pairs))))
     repeated = (
         reduce(DataFrame.unionByName, parts)
-        .where(F.col("v").isNotNull())
-        .groupBy("i", "v")
+        .where(F.col("n_value").isNotNull() | F.col("t_value").isNotNull())
+        .groupBy("i", "n_value", "t_value")
         .agg(F.count("*").alias("n"))
         .groupBy("i")
         .agg(F.count_if(F.col("n") > 1).alias("f"))
