@@ -309,7 +309,7 @@ SQL |= {
         band_rank="ifnull(list_position(['0-3jt', '3-5jt', '5-10jt', '10-25jt', '25-50jt', '>50jt'], income_range), 0)",
     ),
     "fn_is_business_day": _project("transactions", business="isodow(transaction_date) NOT IN (6, 7)"),
-    "fn_audit_columns": f"SELECT branch_id, {audit('branches')} FROM raw_branches",
+    "fn_audit_columns": f"SELECT account_id, {audit('accounts')} FROM raw_accounts",
     "fn_safe_divide": _project(
         "loan_applications",
         ratio="CAST(approved_amount AS DOUBLE) / nullif(CAST(requested_amount AS DOUBLE), 0)",

@@ -611,10 +611,8 @@ def _register_functions() -> None:
     )
     _project(
         "fn_audit_columns",
-        "branches",
-        lambda: dict(
-            **fn.audit_columns(testbed.CTX, "branches"),
-        ),
+        "accounts",
+        lambda: fn.audit_columns(testbed.CTX, "accounts"),
     )
     _project(
         "fn_safe_divide",

@@ -1,6 +1,6 @@
 """The bank's source relations derived from the given star-schema tables.
 
-Every relation is a projection of a whole table (one join for branches, one fan-out for accounts): no
+Every relation is a projection of a whole table (with joins for branches and a fan-out for accounts): no
 rows are left out, so the work grows with the given data. The same expression text runs in Spark and in
 DuckDB; the few differing spellings are filled in from ``SPARK`` or ``DUCKDB``.
 """
@@ -31,7 +31,7 @@ DUCKDB = {"ts": "TIMESTAMP", "tstype": "timestamp", "fan": "unnest(range(0, c_cu
 class Mapping:
     base: str
     cols: dict[str, str]
-    join: tuple[str, str] | None = None
+    joins: tuple[tuple[str, str], ...] = ()
     fan: bool = False
     derived: dict[str, str] = field(default_factory=dict)
 
@@ -49,6 +49,7 @@ def _cuts(expr: str, cuts: list[tuple[int, str]], default: str) -> str:
 _EPOCH = "{ts} '1995-01-01 00:00:00'"
 _TODAY = "DATE '2001-08-02'"
 _CUST = "(CASE WHEN o_custkey % 40 = 17 THEN o_custkey - 1 ELSE o_custkey END)"
+_HOME_BRANCH = "cast(floor(c_custkey / 15) as bigint)"  # customers are 15 times as many as branches
 _T = "o_orderkey"
 _CHANNEL_CUTS = [(41, "mobile"), (62, "ATM"), (77, "web"), (92, "pos"), (97, " branch")]
 _DAY = "interval '1' day"
@@ -56,23 +57,23 @@ _HOUR = "interval '1' hour"
 
 MAPPINGS: dict[str, Mapping] = {
     "branches": Mapping(
-        "nation",
+        "supplier",
         {
-            "branch_id": "cast(n_nationkey as bigint)",
-            "branch_code": "concat('BRN', cast(1000 + n_nationkey as string))",
-            "branch_name": "n_name",
-            "branch_type": _case("n_nationkey % 4", "main", "regional", "sub", "atm_center"),
+            "branch_id": "s_suppkey",
+            "branch_code": "concat('BRN', cast(1000 + s_suppkey as string))",
+            "branch_name": "s_name",
+            "branch_type": _case("s_suppkey % 4", "main", "Regional", "sub ", "atm_center"),
             "city": "lower(n_name)",
             "province": "lower(r_name)",
             "address": "cast(null as string)",
-            "phone": "concat('+62', cast(n_nationkey as string))",
-            "is_active": "n_nationkey % 20 <> 7",
-            "opened_date": "DATE '1990-01-01' + cast(n_nationkey * 97 as int)",
+            "phone": "concat('+62', cast(s_suppkey as string))",
+            "is_active": "s_suppkey % 20 <> 7",
+            "opened_date": "DATE '1970-01-01' + cast((s_suppkey * 97) % 10000 as int)",
             "created_at": _EPOCH,
-            "updated_at": f"{_EPOCH} + {_DAY} * n_nationkey",
-            "deleted_at": "CASE WHEN n_nationkey = 24 THEN {ts} '2000-01-01 00:00:00' END",
+            "updated_at": f"{_EPOCH} + {_DAY} * (s_suppkey % 2000)",
+            "deleted_at": "CASE WHEN s_suppkey % 25 = 4 THEN {ts} '2000-01-01 00:00:00' END",
         },
-        join=("region", "n_regionkey = r_regionkey"),
+        joins=(("nation", "s_nationkey = n_nationkey"), ("region", "n_regionkey = r_regionkey")),
     ),
     "customers": Mapping(
         "customer",
@@ -105,7 +106,7 @@ MAPPINGS: dict[str, Mapping] = {
             ),
             "kyc_verified_at": f"CASE WHEN (c_custkey * 37) % 107 < 91 THEN {_EPOCH}"
             f" + {_DAY} * (c_custkey % 2000) + {_HOUR} * 5 END",
-            "onboarding_branch_id": "cast(c_nationkey as bigint)",
+            "onboarding_branch_id": _HOME_BRANCH,
             "acquisition_channel": _case(
                 "(c_custkey * 23) % 7", "branch", "Mobile_App", "web", "agent", "referral", "telemarketing"
             ),
@@ -123,7 +124,7 @@ MAPPINGS: dict[str, Mapping] = {
             "account_number": "concat('8', cast(100000000000 + a as string))",
             "customer_id": "c_custkey",
             "product_type_id": "p",
-            "branch_id": "cast(c_nationkey as bigint)",
+            "branch_id": _HOME_BRANCH,
             "currency": "'IDR'",
             "balance": "bal",
             "available_balance": "cast(bal * 0.9 as decimal(20,2))",
@@ -237,7 +238,7 @@ MAPPINGS: dict[str, Mapping] = {
             "application_id": _T,
             "application_number": f"concat('LA', cast({_T} as string))",
             "customer_id": "o_custkey",
-            "branch_id": "o_custkey % 25",
+            "branch_id": "cast(floor(o_custkey / 15) as bigint)",
             "handled_by": f"CASE WHEN {_T} % 4 <> 0 THEN {_T} % 200 END",
             "product_type_id": f"{_T} % 2 + 5",
             "requested_amount": f"CASE WHEN {_T} % 50 = 7 THEN cast(0 as decimal(20,2))"
@@ -308,7 +309,7 @@ MAPPINGS: dict[str, Mapping] = {
                 "analyst",
                 "it",
             ),
-            "branch_id": "p_partkey % 25",
+            "branch_id": "cast(floor(p_partkey / 20) as bigint)",
             "hire_date": f"{_TODAY} - cast(p_size * 100 as int)",
             "is_active": "p_partkey % 12 <> 5",
             "created_at": _EPOCH,
@@ -334,8 +335,7 @@ MAPPINGS: dict[str, Mapping] = {
 def spark_relation(table: Callable[[str], DataFrame], name: str) -> DataFrame:
     m = MAPPINGS[name]
     df = table(m.base)
-    if m.join:
-        other, on = m.join
+    for other, on in m.joins:
         df = df.join(table(other), F.expr(on))
     if m.fan:
         df = df.selectExpr("*", f"{SPARK['fan']} AS k")
@@ -355,7 +355,7 @@ def duckdb_relation(name: str) -> str:
         casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in zip(names, types))
         return f"SELECT {casts} FROM (VALUES {values}) AS v({', '.join(names)})"
     m = MAPPINGS[name]
-    source = m.base if not m.join else f"{m.base} JOIN {m.join[0]} ON {m.join[1]}"
+    source = " ".join([m.base, *[f"JOIN {other} ON {on}" for other, on in m.joins]])
     if m.fan:
         source = f"(SELECT *, {DUCKDB['fan']} AS k FROM {source})"
     if m.derived:
