@@ -32,6 +32,8 @@ class RunContext:
     # True takes dpd and outstanding balance from the account source where it has them;
     # False keeps the constant placeholders of the base specification.
     servicing: bool = False
+    # True lets the finance mart estimate its distinct counts, which spares tripling the rows it shuffles.
+    approximate_distinct: bool = False
     limits: Thresholds = field(default_factory=Thresholds)
 
     @property

@@ -48,6 +48,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _bytes_at(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -151,9 +156,13 @@ def merge_into_table(
     spec: TableSpec,
     location: str,
     tie_break: Sequence[str] = (),
+    small_bytes: int = 10 * 1024 * 1024,
 ) -> str:
     """Merge an increment into a partitioned parquet table; returns what happened to the schema.
 
+    An increment of more than ``small_bytes`` on disk is not expected to be broadcast (the default is that of
+    ``spark.sql.autoBroadcastJoinThreshold``) and is merged in the one-join form.
+
     Only touched partitions are rewritten: those that hold a matched key and those the increment lands
     in. The new partitions are completed in a staging folder before the table changes. If the driver dies
     during the swap, the next call finds the finished staging folder and repeats the swap; if it dies
@@ -189,7 +198,14 @@ def merge_into_table(
     # One value per month or day of the table's life, so this list is short whatever the row count.
     touched = [r[0] for r in holding.select(PART).union(increment.select(PART)).distinct().collect()]
     affected = target.where(F.col(PART).isin(touched)).drop(PART)
-    merged = merge_upsert(affected, increment.drop(PART), spec.key, spec.loaded_at, dedup=False)
+    merged = merge_upsert(
+        affected,
+        increment.drop(PART),
+        spec.key,
+        spec.loaded_at,
+        dedup=False,
+        large_increment=_bytes_at(spark, f"{stage}/increment") > small_bytes,
+    )
     write_clustered(with_partition(merged, spec), f"{stage}/merged", [PART], spec.cluster_by)
     left = {r[0] for r in spark.read.parquet(f"{stage}/merged").select(PART).distinct().collect()}
     emptied = [(p,) for p in touched if p not in left]

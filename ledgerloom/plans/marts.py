@@ -380,8 +380,11 @@ TRANSACTION_GRAIN = (
 )
 
 
-def transaction_metrics(staged: DataFrame, grain: tuple[str, ...], by_category: bool = True) -> DataFrame:
+def transaction_metrics(
+    staged: DataFrame, grain: tuple[str, ...], by_category: bool = True, approximate: bool = False
+) -> DataFrame:
     """Volume, revenue and timing metrics at any grain; null grain values form groups."""
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     done, amount, hour = F.col("is_completed"), F.col("amount_idr"), F.col("transaction_hour")
     paid = F.when(done, amount)
     categories = ("debit", "credit") if by_category else ()
@@ -389,8 +392,8 @@ def transaction_metrics(staged: DataFrame, grain: tuple[str, ...], by_category:
         staged.groupBy(*grain)
         .agg(
             F.count("*").alias("transaction_count"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("account_id").alias("unique_accounts"),
+            distinct("customer_id").alias("unique_customers"),
+            distinct("account_id").alias("unique_accounts"),
             *[F.count_if(F.col(f"is_{s}")).alias(f"{s}_count") for s in ("completed", "failed", "reversed")],
             money_sum(done, amount).alias("total_volume_idr"),
             money_sum(done, F.col("fee_amount")).alias("total_fee_idr"),
@@ -427,7 +430,9 @@ def mart_transaction_analytics(cat: Catalog) -> DataFrame:
     derived = derive_transactions(cat, typed_source(cat, "transactions"))
     keyed = join_dim(join_dim(derived, known_types, "type_id"), known_methods, "method_id")
     slim = ("transaction_date", "channel", "type_key", "method_key", "transaction_status", "currency")
-    counted = transaction_metrics(keyed, slim, by_category=False)
+    counted = transaction_metrics(
+        keyed, slim, by_category=False, approximate=cat.ctx.approximate_distinct
+    )
     labelled = join_dim(
         join_dim(counted, types.withColumnRenamed("type_id", "type_key"), "type_key"),
         methods.withColumnRenamed("method_id", "method_key"),

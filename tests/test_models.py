@@ -314,3 +314,19 @@ def test_mart_invariants(bed):
     counted = bed.ref("mart_transaction_analytics").groupBy().sum("transaction_count").first()[0]
     assert counted == bed.ref("stg_transactions").count()
     assert bed.ref("stg_credit_scores").where("is_latest_score").count() == bed.source("credit_scores").select("customer_id").distinct().count()
+
+
+def test_distinct_counts_may_be_estimated(spark):
+    from ledgerloom.registry import bed as make
+
+    exact = make(spark, "/root/testdata/sf0.001")
+    rough = type(exact)(exact._sources, replace(exact.ctx, approximate_distinct=True))
+    grain = ("channel",)
+    a = {r.channel: r for r in marts.transaction_metrics(exact.ref("stg_transactions"), grain).collect()}
+    b = {r.channel: r for r in marts.transaction_metrics(rough.ref("stg_transactions"), grain, approximate=True).collect()}
+    for channel, row in a.items():
+        assert abs(b[channel].unique_customers / row.unique_customers - 1) < 0.2
+        assert b[channel].transaction_count == row.transaction_count
+    plan = rough.ref("mart_transaction_analytics")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    assert "Expand" in exact.ref("mart_transaction_analytics")._jdf.queryExecution().executedPlan().toString()

@@ -48,8 +48,13 @@ def stored_parts(path):
     return sorted(d for d in os.listdir(path) if d.startswith("part_key="))
 
 
-def test_persistent_merge(spark, place):
+@pytest.mark.parametrize("small_bytes", [10**7, 0])
+def test_persistent_merge(spark, place, small_bytes, monkeypatch):
     table, path = place
+    forms = []
+    real, merge_into = merge_upsert, sinks.merge_into_table
+    monkeypatch.setattr(sinks, "merge_upsert", lambda *a, **k: forms.append(k["large_increment"]) or real(*a, **k))
+    monkeypatch.setattr(sinks, "merge_into_table", lambda *a: merge_into(*a, small_bytes=small_bytes))
     first = frame(spark, (1, "a", 0), (2, "b", 0), (3, "c", 40), (4, "no time", None))
     assert sinks.merge_into_table(spark, first, table, SPEC, path) == "created"
     assert stored_parts(path) == ["part_key=0", "part_key=202401", "part_key=202402"]
@@ -71,6 +76,7 @@ def test_persistent_merge(spark, place):
     assert sinks.merge_into_table(spark, wider, table, SPEC, path) == "added:extra"
     assert {r.k: r.extra for r in spark.table(table).collect()} == {1: None, 2: None, 3: None, 4: None, 5: None, 6: 1}
     assert not sinks.path_exists(spark, f"{path}__stage")
+    assert set(forms) == {small_bytes == 0}
 
 
 def test_merge_recovers_from_a_lost_driver(spark, place, monkeypatch):
