@@ -34,13 +34,14 @@ class Window:
         window_start: datetime | str | None = None,
         window_end: datetime | str | None = None,
     ) -> Window:
-        """A scheduled UTC interval in business time. An explicit bound is already business time and wins."""
+        """A scheduled interval in business time; naive times are UTC. An explicit bound is already business
+        time and wins."""
 
         def bound(override, scheduled: datetime) -> datetime:
             if override:
                 return datetime.fromisoformat(override) if isinstance(override, str) else override
-            utc = scheduled.replace(tzinfo=ZoneInfo("UTC"))
-            return utc.astimezone(ZoneInfo(BUSINESS_ZONE)).replace(tzinfo=None)
+            aware = scheduled if scheduled.tzinfo else scheduled.replace(tzinfo=ZoneInfo("UTC"))
+            return aware.astimezone(ZoneInfo(BUSINESS_ZONE)).replace(tzinfo=None)
 
         return cls(bound(window_start, interval_start), bound(window_end, interval_end))
 

@@ -25,7 +25,7 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
     """Exactly ``max(1, floor(fraction * rows))`` rows, the lowest by key hash.
 
-    The sample grows with the data, so it is never sorted in one place. Counts per hash bucket (65536
+    ``key`` is unique. The sample grows with the data, so it is never sorted in one place. Counts per hash bucket (65536
     rows at most, whatever the input) locate the bucket in which the quota ends: lower buckets are taken
     whole, and only that one, about 1/65536 of the rows, is ranked.
     """

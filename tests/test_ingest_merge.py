@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -62,6 +62,9 @@ def test_window_of_schedule():
     assert w == Window(datetime(2024, 3, 11, 9), datetime(2024, 3, 12, 9))
     w = Window.of_schedule(datetime(2024, 3, 11, 2), datetime(2024, 3, 12, 2), window_end="2024-03-20 00:00:00")
     assert w == Window(datetime(2024, 3, 11, 9), datetime(2024, 3, 20))
+    cet = timezone(timedelta(hours=1))
+    w = Window.of_schedule(datetime(2024, 3, 11, 3, tzinfo=cet), datetime(2024, 3, 12, 3, tzinfo=cet))
+    assert w == Window(datetime(2024, 3, 11, 9), datetime(2024, 3, 12, 9))
 
 
 def test_split_windows_cover():

@@ -195,6 +195,17 @@ def test_ingest_tables_and_backfill(spark, bed, tmp_path):
     assert one.exceptAll(two.select(one.columns)).count() == 0 and one.count() == two.count() == 150
 
 
+def test_all_thirteen_tables_can_be_ingested(spark, bed, tmp_path):
+    whole = Window(datetime(1994, 1, 1), datetime(2002, 1, 1))
+    got = pipeline.ingest_tables(spark, list(SPECS.values()), bed.source, whole, "raw_all", str(tmp_path))
+    assert len(got) == 13 and set(got.values()) == {"created"}
+    systems = {"core_banking": "raw_all", "transactions": "raw_all"}
+    stored = Catalog(sources_from_tables(spark, systems), bed.ctx)
+    for mart in ("mart_customer_360", "mart_fraud_analytics", "mart_transaction_analytics"):
+        mine, theirs = stored.ref(mart), bed.ref(mart)
+        assert mine.exceptAll(theirs).count() == 0 and mine.count() == theirs.count(), mart
+
+
 def test_pipeline_runs(spark, tmp_path):
     cat = customer_world(spark, CTX)
     with pytest.raises(pipeline.PipelineBlocked, match="stale sources"):

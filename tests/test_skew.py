@@ -60,3 +60,29 @@ def duck(skewed):
 @pytest.mark.parametrize("name", CHECKED)
 def test_same_answer(spark, duck, skewed, name):
     assert compare(spark, duck, name, QUERIES[name], ORACLE[name], skewed) is None
+
+
+def test_adaptive_execution_splits_the_hot_customer(spark, skewed):
+    """The marts' joins are shaped so that a skewed side can be split, once it is too large to broadcast."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        df = QUERIES["mart_fraud_analytics"](spark, skewed)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    final = plan.split("Initial Plan")[0]
+    hot = [line for line in final.splitlines() if "SortMergeJoin(skew=true)" in line]
+    assert any("customer_id" in line for line in hot), final[:3000]
