@@ -176,7 +176,10 @@ def merge_into_table(
             write_raw(incoming, spec, location, table)
             return "created"
         # Written by an earlier session. Older partitions may lack later columns, so footers are merged.
-        schema = spark.read.option("mergeSchema", "true").parquet(location).schema
+        fs, folder = _fs(spark, location)
+        has_rows = any(child.getPath().getName().startswith(f"{PART}=") for child in fs.listStatus(folder))
+        reader = spark.read.option("mergeSchema", "true")
+        schema = (reader.parquet(location) if has_rows else with_partition(incoming, spec)).schema
         spark.sql(
             f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet PARTITIONED BY ({PART}) LOCATION '{location}'"
         )

@@ -108,6 +108,14 @@ def test_merge_recovers_from_a_lost_driver(spark, place, monkeypatch):
     assert content(spark.table(table)) == [(1, "a2"), (2, "b"), (3, "c"), (4, "d")]
 
 
+def test_empty_table_is_found_again(spark, place):
+    table, path = place
+    sinks.merge_into_table(spark, frame(spark, (1, "a", 0)).limit(0), table, SPEC, path)
+    spark.sql(f"DROP TABLE {table}")
+    assert sinks.merge_into_table(spark, frame(spark, (1, "a", 0)), table, SPEC, path) == "no_changes"
+    assert content(spark.table(table)) == [(1, "a")]
+
+
 def test_stream_equals_batch(spark, place, tmp_path):
     table, path = place
     changes = [frame(spark, *[(i % 4, f"v{n}.{i}", (i * 7 + n) % 90) for i in range(6)]) for n in range(3)]
