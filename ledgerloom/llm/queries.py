@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, simhash
+from ledgerloom.llm import packing, simhash, warc
 from ledgerloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 2048 tokens."""
     found = packing.pack(packing.pieces(read(spark, sf_dir, "documents")))
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op9_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record reads back from the archives."""
+    found = warc.archive(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+ORACLE["op9_warc_normaliser"] = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT
+    page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+    CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to, true AS intact
+FROM p LEFT JOIN f USING (d)
+"""
