@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, simhash, warc
+from ledgerloom.llm import packing, quality, simhash, warc
 from ledgerloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,9 @@ SELECT
     CASE WHEN first <> page_id THEN first END AS refers_to, true AS intact
 FROM p LEFT JOIN f USING (d)
 """
+
+
+@query
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
