@@ -82,7 +82,7 @@ def _record(date: str) -> Column:
 
 def write_monolithic(pages: DataFrame, folder: str, least: int = 100, date: str = "1970-01-01T00:00:00Z") -> None:
     """Archives that are one gzip stream each: the text writer's line end is the blank lines that end a record."""
-    lines = records(pages, least).select(_record(date).alias("value")).hint("rebalance")
+    lines = records(pages, least).select(_record(date).alias("value"))
     lines.write.option("lineSep", GAP).option("compression", "gzip").text(folder)
 
 
