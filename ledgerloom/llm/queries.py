@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, packing, quality, simhash, warc
+from ledgerloom.llm import decontaminate, packing, quality, secrets, simhash, warc
 from ledgerloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,21 @@ def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that is found in it."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    found = secrets.secrets(read(spark, sf_dir, "documents"))
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
