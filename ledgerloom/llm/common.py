@@ -48,6 +48,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The two columns an operator reads, a null text as the empty one. Other columns stay behind."""
+    ready(docs.sparkSession)
     return docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(text))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, packing, quality, secrets, simhash, warc
+from ledgerloom.llm import ctw, decontaminate, packing, quality, secrets, simhash, warc
 from ledgerloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,9 @@ def op2_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
         secrets.spelled(F.array_sort(F.concat("base", "added"))).alias("spans"),
     )
+
+
+@query
+def op3_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and context-tree scores of every document."""
+    return ctw.scores(read(spark, sf_dir, "documents"))
