@@ -21,6 +21,7 @@ WIDTH = 5
 SLOT_BITS = 22
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*%?")
 _GLUED = re.compile(r"([+-]?[$€£]?\d+(?:[.,]\d+)*)([^\W\d_]+)")
+_DIGIT_LETTER = re.compile(r"\d[^\W\d_]")
 _EDGE = re.compile(r"^[^\w$€£+-]+|[^\w%]+$")
 #: Units that are a slot after a number.
 UNITS = frozenset(
@@ -38,44 +39,39 @@ def _hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-class Words:
-    """What each word is, by a number: its hash, the kind it may have, and whether a sentence ends with it."""
+class Words(dict):
+    """A number for each word, and by it the word's hash and marks: its possible kind, and 4 if a sentence ends there."""
 
     def __init__(self, most: int = 400_000) -> None:
-        self.most, self.ids = most, {}
-        self.rows: list[tuple[int, int, bool, bool]] = []
-        self.table = self._table()
-
-    def _table(self):
-        kinds = np.array([r[1:] for r in self.rows], dtype=np.int64).reshape(-1, 3)
-        return np.array([r[0] for r in self.rows], dtype=np.uint64), kinds
-
-    def _add(self, word: str) -> int:
-        bare = _EDGE.sub("", word)
-        if _NUMBER.fullmatch(bare):
-            kind = NUMBER
-        elif bare.casefold() in UNITS:
-            kind = UNIT
-        elif bare[:1].isupper() and not bare[1:].isupper():
-            kind = NAME
+        self.most = most
+        self.hashes, self.marks = np.zeros(1024, np.uint64), np.zeros(1024, np.uint8)
+
+    def __missing__(self, word: str) -> int:
+        bare = word if word.isalpha() else word[:-1]
+        if bare.isalpha() and (bare is word or word[-1] in ".,;:!?"):
+            low = bare.casefold()
+            kind = UNIT if low in UNITS else NAME if bare[0].isupper() and not bare[1:].isupper() else TEXT
         else:
-            kind = TEXT
-        self.ids[word] = len(self.rows)
-        self.rows.append((_hash(bare.casefold()), kind, word[-1:] in ".!?:", bool(bare)))
-        return self.ids[word]
+            bare = _EDGE.sub("", word)
+            low = bare.casefold()
+            if _NUMBER.fullmatch(bare):
+                kind = NUMBER
+            elif low in UNITS:
+                kind = UNIT
+            else:
+                kind = NAME if bare[:1].isupper() and not bare[1:].isupper() else TEXT
+        at = self[word] = len(self)
+        if at == len(self.hashes):
+            self.hashes, self.marks = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hashes, self.marks))
+        self.hashes[at] = _hash(low)
+        self.marks[at] = kind + 4 * (word[-1:] in ".!?:")
+        return at
 
     def look(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.ids) > self.most:
-            self.ids.clear()
-            self.rows.clear()
-        known = self.ids
-        try:
-            at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            at = np.fromiter((known[w] if w in known else self._add(w) for w in words), np.int64, len(words))
-        if len(self.table[0]) != len(self.rows):
-            self.table = self._table()
-        return self.table[0][at], self.table[1][at]
+        if len(self) > self.most:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.hashes[at], self.marks[at]
 
 
 _PLACEHOLDER = np.array([0, _hash("<number>"), _hash("<unit>"), _hash("<name>")], dtype=np.uint64)
@@ -84,7 +80,7 @@ _PLACEHOLDER = np.array([0, _hash("<number>"), _hash("<unit>"), _hash("<name>")]
 def tokens_of(text: str) -> list[str]:
     """Words, with a unit that is glued to its number as a word of its own."""
     words = text.split()
-    if any(c.isdigit() for c in text):
+    if _DIGIT_LETTER.search(text):
         words = [part for w in words for part in _unglue(w)]
     return words
 
@@ -102,9 +98,9 @@ def template(words: list[str], book: Words) -> tuple[np.ndarray, np.ndarray]:
 
     A capitalised word is a name unless it begins a sentence or the text; a unit word is a unit after a number only.
     """
-    hashes, rows = book.look(words)
-    kinds = rows[:, 0].copy()
-    before = np.concatenate([[True], rows[:-1, 1].astype(bool)])
+    hashes, marks = book.look(words)
+    kinds = marks & 3
+    before = np.concatenate([[True], marks[:-1] >= 4])
     kinds[(kinds == NAME) & before] = TEXT
     after_number = np.concatenate([[False], kinds[:-1] == NUMBER])
     kinds[(kinds == UNIT) & ~after_number] = TEXT
