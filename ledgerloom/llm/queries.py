@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ctw, decontaminate, packing, quality, secrets, simhash, warc
+from ledgerloom.llm import ctw, decontaminate, packing, quality, secrets, simhash, suffix_dedup, warc
 from ledgerloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,16 @@ def op2_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and context-tree scores of every document."""
     return ctw.scores(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_common_prefix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document when repeated strings of 400 bytes are removed."""
+    found = suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
