@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ctw, decontaminate, packing, quality, secrets, simhash, suffix_dedup, warc
+from ledgerloom.llm import ann, ctw, decontaminate, packing, quality, secrets, simhash, suffix_dedup, warc
 from ledgerloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,10 @@ def op7_common_prefix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id 20 divides."""
+    rows = read(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 20 = 0"))
