@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ann, ctw, decontaminate, packing, quality, secrets, simhash, suffix_dedup, warc
+from ledgerloom.llm import ann, ctw, decontaminate, licences, packing, quality, secrets, simhash, suffix_dedup, warc
 from ledgerloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,10 @@ def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id 20 divides."""
     rows = read(spark, sf_dir, "embeddings")
     return ann.search(rows, rows.where("vec_id % 20 = 0"))
+
+
+@query
+def op10_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence family of every paragraph that speaks of a licence."""
+    found = licences.licences(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "paragraph", "family", "guess", "probability", "similarity")

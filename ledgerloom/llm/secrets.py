@@ -6,12 +6,11 @@ All that concerns one text is computed in its own row, without a shuffle. Positi
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, texts
+from ledgerloom.llm.common import Body, cut, let, texts
 
 #: The known forms. Group 2 of an assignment is its value.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -36,12 +35,6 @@ AGREE_TWO, AGREE_THREE = 0.065, 0.0065
 TENTHS = 400  # bins of the evidence, in tenths of a decimal power
 
 SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
-Body = Callable[[Column], Column]
-
-
-def let(value: Column, body: Body) -> Column:
-    """``body`` of a value that is computed once however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def total(values: Column) -> Column:
