@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import ts_lit
 from ledgerloom.operators.ranking import dedup_latest, next_value
 
-# The customer attributes the snapshot follows.
+# The customer attributes the snapshot follows.
 TRACKED_CUSTOMER_COLUMNS = (
     "customer_id",
     "customer_uuid",

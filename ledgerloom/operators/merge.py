@@ -24,7 +24,6 @@ def merge_upsert(
     dedup: bool = True,
     tie_break: Sequence[str] = (),
     delete_missing: bool = False,
-    large_increment: bool = False,
 ) -> DataFrame:
     """Newer wins: a matched row is replaced when the incoming one is strictly newer, else kept.
 
@@ -32,39 +31,31 @@ def merge_upsert(
     retried extract that left the same key twice; without it the caller vouches for unique keys.
     ``delete_missing`` drops target rows the increment does not have: right only for a full extract.
 
-    For a usual, small increment the wide target is the streamed side of a left (or inner) join, and a
-    second, key-only scan finds what to insert: while the increment can be broadcast, which the optimizer
-    checks, the target is not shuffled at all. A ``large_increment`` is joined in one full outer join, which
-    shuffles both sides once. The result is the same.
+    One join for increments of any size: full outer, or right outer when missing rows are dropped. It shuffles each
+    side once by the key; rows of the target cross no second join.
     """
     if dedup:
         incoming = dedup_latest(incoming, [key], order, tie_break)
     target, _ = evolve_schema(target, incoming)
-    one_join = "right" if delete_missing else "full"
     joined = (
         target.withColumn("_known", F.lit(True))
         .alias("t")
         .join(
             incoming.withColumn("_given", F.lit(True)).alias("s"),
             F.col(f"t.{key}") == F.col(f"s.{key}"),
-            one_join if large_increment else "inner" if delete_missing else "left",
+            "right" if delete_missing else "full",
         )
     )
     newer = F.col(f"s.{order}") > F.col(f"t.{order}")
     take = F.col("s._given").isNotNull() & (F.col("t._known").isNull() | newer)
     # A column the increment does not carry keeps its old value, and is null in an inserted row.
     given = set(incoming.columns)
-    chosen = joined.select(
+    return joined.select(
         [
             F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in given else F.col(f"t.{c}")
             for c in target.columns
         ]
     )
-    if large_increment:
-        return chosen
-    matched = target.select(key).join(incoming.select(key), key, "left_semi")
-    inserted = incoming.join(matched, key, "left_anti")
-    return chosen.unionByName(inserted, allowMissingColumns=True)
 
 
 def insert_ignore(

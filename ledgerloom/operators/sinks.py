@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
@@ -28,13 +28,36 @@ def ensure_schema(spark: SparkSession, schema: str, warehouse: str) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; in local mode a new temporary one."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; in local mode else one in the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="ledgerloom-")
+    return spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_scratch"
+
+
+_SCRATCH: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder below the application's own one, which goes when the driver's process ends.
+
+    A query's rows are read after it has returned, so it cannot remove the folder itself.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = f"{scratch_root(spark)}/ledgerloom-{app}"
+        fs, folder = _fs(spark, _SCRATCH[app])
+        atexit.register(_remove_quietly, fs, folder)
+    return f"{_SCRATCH[app]}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove_quietly(fs, folder) -> None:
+    try:
+        fs.delete(folder, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone already; then the cluster's own cleaning is left
+        pass
 
 
 def _fs(spark: SparkSession, path: str):
@@ -48,11 +71,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _bytes_at(spark: SparkSession, path: str) -> int:
-    fs, p = _fs(spark, path)
-    return fs.getContentSummary(p).getLength()
-
-
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -121,24 +139,33 @@ def rebuild_table(
 ) -> None:
     """Replace a whole table without a moment in which it is missing or half written.
 
-    The new build is a table of its own; a view takes the name over once the build is complete, and earlier
-    builds, also abandoned ones, are removed.
+    The new build is a table of its own; a view takes the name over once the build is complete. The build before it
+    stays for readers still on it; earlier ones, also abandoned ones, are removed.
     """
     spark = df.sparkSession
+    shown = _shown_build(spark, name)
     build = f"{name.rpartition('.')[2]}__b{uuid.uuid4().hex[:12]}"
     schema = name.rpartition(".")[0]
     full = f"{schema}.{build}" if schema else build
     write_clustered(df, f"{path}/{build}", partition_by, cluster_by, table=full)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {full}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('build' = '{build}') AS SELECT * FROM {full}")
     prefix = build.rpartition("__b")[0] + "__b"
     fs, folder = _fs(spark, path)
     for child in fs.listStatus(folder):
         old = child.getPath().getName()
-        if old.startswith(prefix) and old != build:
+        if old.startswith(prefix) and old not in (build, shown):
             spark.sql(f"DROP TABLE IF EXISTS {schema + '.' if schema else ''}{old}")
             fs.delete(child.getPath(), True)
 
 
+def _shown_build(spark: SparkSession, view: str) -> str | None:
+    """The build that the view shows now."""
+    if not spark.catalog.tableExists(view):
+        return None
+    said = spark.sql(f"SHOW TBLPROPERTIES {view}").where("key = 'build'").first()
+    return said["value"] if said else None
+
+
 def with_partition(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Add the raw table's partition value, by month or day of its load time; 0 where that is null."""
     value = partition_key(F.to_date(spec.loaded_at), spec.granularity)
@@ -156,17 +183,17 @@ def merge_into_table(
     spec: TableSpec,
     location: str,
     tie_break: Sequence[str] = (),
-    small_bytes: int = 10 * 1024 * 1024,
 ) -> str:
     """Merge an increment into a partitioned parquet table; returns what happened to the schema.
 
-    An increment of more than ``small_bytes`` on disk is not expected to be broadcast (the default is that of
-    ``spark.sql.autoBroadcastJoinThreshold``) and is merged in the one-join form.
-
     Only touched partitions are rewritten: those that hold a matched key and those the increment lands
-    in. The new partitions are completed in a staging folder before the table changes. If the driver dies
-    during the swap, the next call finds the finished staging folder and repeats the swap; if it dies
-    earlier, the table is as it was. Repeating a merge changes nothing, so a retry is always safe.
+    in. They are written once, laid out by ``write_clustered``, in a staging folder, and their folders are then moved
+    into the table; the ones they replace are kept aside until the next merge. If the driver dies during the swap,
+    the next call finds the finished staging folder and goes on with the swap; if it dies earlier, the table is as it
+    was. Repeating a merge changes nothing, so a retry is always safe.
+
+    The target's keys are read once an increment to find the touched partitions, so a stream should bring batches of
+    a size that is worth that scan (``maxFilesPerTrigger``, or a longer trigger).
     """
     stage = f"{location}__stage"
     _finish_swap(spark, table, location, stage)
@@ -207,7 +234,6 @@ def merge_into_table(
         spec.key,
         spec.loaded_at,
         dedup=False,
-        large_increment=_bytes_at(spark, f"{stage}/increment") > small_bytes,
     )
     write_clustered(with_partition(merged, spec), f"{stage}/merged", [PART], spec.cluster_by)
     left = {r[0] for r in spark.read.parquet(f"{stage}/merged").select(PART).distinct().collect()}
@@ -277,23 +303,39 @@ def store_snapshot(
 
 
 def _finish_swap(spark: SparkSession, table: str, location: str, stage: str) -> None:
+    """Move the finished partitions of a staging folder into the table. Each step may already be done.
+
+    What they replace goes to ``<location>__old``, emptied by the first step of each swap.
+    """
     if path_exists(spark, f"{stage}/ready/_SUCCESS"):
-        (
-            spark.read.parquet(f"{stage}/merged")
-            .sortWithinPartitions(PART)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART)
-            .parquet(location)
-        )
+        aside = f"{location}__old"
+        if not path_exists(spark, f"{stage}/swapping"):
+            remove_path(spark, aside)
+            fs, mark = _fs(spark, f"{stage}/swapping")
+            fs.mkdirs(mark)
+        fs, merged = _fs(spark, f"{stage}/merged")
+        moved = [c.getPath().getName() for c in fs.listStatus(merged)]
+        for part in (p for p in moved if p.startswith(f"{PART}=")):
+            _move(spark, f"{location}/{part}", f"{aside}/{part}")
+            _move(spark, f"{stage}/merged/{part}", f"{location}/{part}")
         for (emptied,) in spark.read.parquet(f"{stage}/ready").collect():
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PART}={emptied})")
-            remove_path(spark, f"{location}/{PART}={emptied}")
+            _move(spark, f"{location}/{PART}={emptied}", f"{aside}/{PART}={emptied}")
         _register_partitions(spark, table)
     if path_exists(spark, stage):
         remove_path(spark, stage)
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; a folder that is not there was moved before."""
+    fs, old = _fs(spark, source)
+    _, new = _fs(spark, target)
+    if fs.exists(old):
+        fs.mkdirs(new.getParent())
+        if not fs.rename(old, new):
+            raise OSError(f"cannot move {source} to {target}")
+
+
 def _register_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)

@@ -3,6 +3,9 @@ customer is reduced on the map side."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -224,7 +227,7 @@ def mart_customer_lifetime_value(cat: Catalog) -> DataFrame:
             }
         )
     )
-    blend = sum((F.col(c) * _dec(w) for c, w in list(RFM_WEIGHTS.items())[1:]), F.col("m_score") * _dec("0.40"))
+    blend = reduce(Column.__add__, (F.col(c) * _dec(w) for c, w in RFM_WEIGHTS.items()))
     segment, retention = F.lit("lost"), _dec(RETENTION_FLOOR, 1)
     for floor, name in reversed(CLV_SEGMENTS):
         segment = F.when(F.col("_blend") >= _dec(floor, 1), F.lit(name)).otherwise(segment)
@@ -384,16 +387,16 @@ def transaction_metrics(
     staged: DataFrame, grain: tuple[str, ...], by_category: bool = True, approximate: bool = False
 ) -> DataFrame:
     """Volume, revenue and timing metrics at any grain; null grain values form groups."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     done, amount, hour = F.col("is_completed"), F.col("amount_idr"), F.col("transaction_hour")
     paid = F.when(done, amount)
     categories = ("debit", "credit") if by_category else ()
-    return (
+    unique = {"unique_customers": "customer_id", "unique_accounts": "account_id"}
+    estimates = [F.approx_count_distinct(c).alias(n) for n, c in unique.items()] if approximate else []
+    counted = (
         staged.groupBy(*grain)
         .agg(
             F.count("*").alias("transaction_count"),
-            distinct("customer_id").alias("unique_customers"),
-            distinct("account_id").alias("unique_accounts"),
+            *estimates,
             *[F.count_if(F.col(f"is_{s}")).alias(f"{s}_count") for s in ("completed", "failed", "reversed")],
             money_sum(done, amount).alias("total_volume_idr"),
             money_sum(done, F.col("fee_amount")).alias("total_fee_idr"),
@@ -416,6 +419,31 @@ def transaction_metrics(
             }
         )
     )
+    if approximate:
+        return counted
+    columns = counted.columns
+    at = columns.index("transaction_count") + 1
+    return null_safe_join(counted, distinct_counts(staged, grain, unique), grain).select(
+        *columns[:at], *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in unique], *columns[at:]
+    )
+
+
+def distinct_counts(df: DataFrame, grain: Sequence[str], unique: Mapping[str, str]) -> DataFrame:
+    """Exact distinct counts of several columns by group, apart from other aggregates.
+
+    Beside them, Spark would send every row once more for each counted column, each time with the buffers of all
+    aggregates. Here a row of the shuffle is the group, which column is meant, and its value.
+    """
+    pairs = [F.struct(F.lit(n).alias("which"), F.col(c).alias("value")) for n, c in unique.items()]
+    seen = df.select(*grain, F.inline(F.array(*pairs))).where("value IS NOT NULL").distinct()
+    return seen.groupBy(*grain).agg(*[F.count_if(F.col("which") == n).alias(n) for n in unique])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join on columns in which null equals null."""
+    renamed = right.select(*[F.col(c).alias(f"_{c}") if c in on else c for c in right.columns])
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on))
+    return left.join(renamed, same, "left").drop(*[f"_{c}" for c in on])
 
 
 def mart_transaction_analytics(cat: Catalog) -> DataFrame:

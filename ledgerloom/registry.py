@@ -63,8 +63,7 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    return f"{sinks.scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+scratch = sinks.scratch
 
 
 # ---- models -------------------------------------------------------------------------------------------

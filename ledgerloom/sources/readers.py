@@ -24,11 +24,14 @@ def jdbc_options(
 
     ``bounds`` is (lowest key, highest key, number of partitions); the scan is split on the merge key.
     It only places the cuts: rows outside the bounds still arrive, in the first or last partition.
-    DATETIME columns are read as wall time, and MySQL sessions run in the bank's zone.
+    DATETIME columns are read as wall time, and MySQL sessions run in the bank's zone. Without a cursor the MySQL
+    driver holds a partition's whole result in memory, whatever the fetch size.
     """
     url = connection["url"]
-    if spec.system == TRANSACTIONS and "connectionTimeZone" not in url:
-        url += ("&" if "?" in url else "?") + f"connectionTimeZone={BUSINESS_ZONE}"
+    if spec.system == TRANSACTIONS:
+        for name, value in (("connectionTimeZone", BUSINESS_ZONE), ("useCursorFetch", "true")):
+            if name not in url:
+                url += ("&" if "?" in url else "?") + f"{name}={value}"
     options = {
         "url": url,
         "dbtable": _SCHEMA_PREFIX[spec.system] + spec.name,
@@ -69,10 +72,12 @@ def read_source(
     path: str | None = None,
     table: str | None = None,
     bounds: tuple[int, int, int] | None = None,
+    months: tuple[str, date, date] | None = None,
 ) -> DataFrame:
     """Scan one source table from a JDBC connection, a parquet path or a catalog table.
 
-    All three give Catalyst a scan that prunes columns and takes pushed filters.
+    All three give Catalyst a scan that prunes columns and takes pushed filters. ``months``, a date column with its
+    first and last day, splits a JDBC scan by month instead of by ``bounds`` of the key.
     """
     if sum(x is not None for x in (connection, path, table)) != 1:
         raise ValueError("give exactly one of connection, path, table")
@@ -80,7 +85,23 @@ def read_source(
         return spark.read.parquet(path)
     if table is not None:
         return spark.table(table)
-    return spark.read.format("jdbc").options(**jdbc_options(spec, connection, bounds)).load()
+    options = jdbc_options(spec, connection, None if months else bounds)
+    if months is None:
+        return spark.read.format("jdbc").options(**options).load()
+    return spark.read.jdbc(
+        options.pop("url"), options.pop("dbtable"), predicates=month_predicates(*months), properties=options
+    )
+
+
+def sources_from_jdbc(
+    spark: SparkSession, connections: Mapping[str, Mapping[str, str]]
+) -> dict[str, Callable[[], DataFrame]]:
+    """Catalog sources from the source systems: system name -> connection."""
+    return {
+        n: (lambda s=s: read_source(spark, s, connection=connections[s.system]))
+        for n, s in SPECS.items()
+        if s.system in connections
+    }
 
 
 def sources_from_tables(spark: SparkSession, schemas: Mapping[str, str]) -> dict[str, Callable[[], DataFrame]]:

@@ -105,21 +105,18 @@ def test_merge_cases(spark):
         (6, "inserted later", 2, 0),
     )
     expected = {1: "newer", 2: "t2", 3: "t3", 4: "t4", 5: "t5", 6: "inserted later", 7: "t7"}
-    for large in (False, True):
-        options = {"tie_break": ["seq"], "large_increment": large}
-        merged = merge.merge_upsert(target, incoming, "k", "t", **options)
-        assert values(merged) == expected and merged.count() == 7
-        deleted = merge.merge_upsert(target, incoming, "k", "t", delete_missing=True, **options)
-        assert values(deleted) == {k: v for k, v in expected.items() if k != 7}
+    merged = merge.merge_upsert(target, incoming, "k", "t", tie_break=["seq"])
+    assert values(merged) == expected and merged.count() == 7
+    deleted = merge.merge_upsert(target, incoming, "k", "t", delete_missing=True, tie_break=["seq"])
+    assert values(deleted) == {k: v for k, v in expected.items() if k != 7}
 
 
 def test_merge_new_and_absent_columns(spark):
     target = frame(spark, (1, "a", 1, 10), (2, "b", 1, 20))
     incoming = frame(spark, (1, "a2", 2, 0), (3, "c", 2, 0)).drop("seq").withColumn("extra", F.lit("x"))
-    for large in (False, True):
-        merged = merge.merge_upsert(target, incoming, "k", "t", large_increment=large)
-        got = {r.k: (r.v, r.seq, r.extra) for r in merged.collect()}
-        assert got == {1: ("a2", 10, "x"), 2: ("b", 20, None), 3: ("c", None, "x")}
+    merged = merge.merge_upsert(target, incoming, "k", "t")
+    got = {r.k: (r.v, r.seq, r.extra) for r in merged.collect()}
+    assert got == {1: ("a2", 10, "x"), 2: ("b", 20, None), 3: ("c", None, "x")}
 
 
 ROW = st.tuples(st.integers(0, 5), st.sampled_from("abc"), st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 99))
@@ -148,11 +145,10 @@ def test_merge_properties(spark, old, new):
     target = dedup_latest(frame(spark, *old), ["k"], "t", ["seq", "v"])
     incoming = frame(spark, *new)
     once = merge.merge_upsert(target, incoming, "k", "t", tie_break=["seq", "v"])
-    other_way = merge.merge_upsert(target, incoming, "k", "t", tie_break=["seq", "v"], large_increment=True)
     twice = merge.merge_upsert(once, incoming, "k", "t", tie_break=["seq", "v"])
     as_dict = lambda df: {r.k: (r.v, r.t, r.seq) for r in df.collect()}
     assert as_dict(once) == {k: (v, at(h), s) for k, (v, h, s) in want.items()}
-    assert as_dict(twice) == as_dict(once) == as_dict(other_way)
+    assert as_dict(twice) == as_dict(once)
 
 
 def test_backfill_by_day_equals_one_window(spark):

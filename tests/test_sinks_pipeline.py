@@ -48,13 +48,8 @@ def stored_parts(path):
     return sorted(d for d in os.listdir(path) if d.startswith("part_key="))
 
 
-@pytest.mark.parametrize("small_bytes", [10**7, 0])
-def test_persistent_merge(spark, place, small_bytes, monkeypatch):
+def test_persistent_merge(spark, place):
     table, path = place
-    forms = []
-    real, merge_into = merge_upsert, sinks.merge_into_table
-    monkeypatch.setattr(sinks, "merge_upsert", lambda *a, **k: forms.append(k["large_increment"]) or real(*a, **k))
-    monkeypatch.setattr(sinks, "merge_into_table", lambda *a: merge_into(*a, small_bytes=small_bytes))
     first = frame(spark, (1, "a", 0), (2, "b", 0), (3, "c", 40), (4, "no time", None))
     assert sinks.merge_into_table(spark, first, table, SPEC, path) == "created"
     assert stored_parts(path) == ["part_key=0", "part_key=202401", "part_key=202402"]
@@ -76,7 +71,46 @@ def test_persistent_merge(spark, place, small_bytes, monkeypatch):
     assert sinks.merge_into_table(spark, wider, table, SPEC, path) == "added:extra"
     assert {r.k: r.extra for r in spark.table(table).collect()} == {1: None, 2: None, 3: None, 4: None, 5: None, 6: 1}
     assert not sinks.path_exists(spark, f"{path}__stage")
-    assert set(forms) == {small_bytes == 0}
+
+
+def test_merged_partitions_are_laid_out_as_written_ones(spark, place, tmp_path):
+    """The swap moves folders, so a merged partition has the files and the order of a clustered write."""
+    table, path = place
+    old = frame(spark, *[(i, f"v{i % 7}", i % 20) for i in range(200)])
+    new = frame(spark, *[(i, f"w{i % 5}", 20 + i % 9) for i in range(100, 300)])
+    sinks.merge_into_table(spark, old, table, SPEC, path)
+    first = set(stored_parts(path))
+    sinks.merge_into_table(spark, new, table, SPEC, path)
+    alone = str(tmp_path / "alone")
+    sinks.write_raw(merge_upsert(old, new, "k", "t"), SPEC, alone)
+    assert stored_parts(path) == stored_parts(alone)
+    for part in stored_parts(path):
+        files = [sorted(Path(p, part).glob("*.parquet")) for p in (path, alone)]
+        assert len(files[0]) == len(files[1])
+        for a, b in zip(*files):
+            rows = [[r.v for r in spark.read.parquet(str(f)).collect()] for f in (a, b)]
+            assert rows[0] == sorted(rows[0]) and rows[0] == rows[1]
+    # What was replaced stays aside until the next merge.
+    assert set(stored_parts(f"{path}__old")) <= first and stored_parts(f"{path}__old")
+
+
+def test_swap_goes_on_where_it_stopped(spark, place, monkeypatch):
+    table, path = place
+    sinks.merge_into_table(spark, frame(spark, (1, "a", 0), (2, "b", 40), (3, "c", 80)), table, SPEC, path)
+    real, calls = sinks._move, []
+
+    def dies_in_the_middle(*args):
+        calls.append(args)
+        if len(calls) == 4:
+            raise ConnectionError("driver lost")
+        real(*args)
+
+    monkeypatch.setattr(sinks, "_move", dies_in_the_middle)
+    with pytest.raises(ConnectionError):
+        sinks.merge_into_table(spark, frame(spark, (1, "a2", 1), (2, "b2", 41), (3, "c2", 81)), table, SPEC, path)
+    monkeypatch.setattr(sinks, "_move", real)
+    sinks.merge_into_table(spark, frame(spark, (4, "d", 0)), table, SPEC, path)
+    assert content(spark.table(table)) == [(1, "a2"), (2, "b2"), (3, "c2"), (4, "d")]
 
 
 def test_merge_recovers_from_a_lost_driver(spark, place, monkeypatch):
@@ -145,12 +179,13 @@ def test_staged_folder_is_removed(spark, tmp_path):
 
 def test_scratch_root_follows_the_cluster():
     def session(master, shared=None):
-        conf = SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default)
+        said = {"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": "file:/w/house/"}
+        conf = SimpleNamespace(get=lambda key, default: said.get(key) or default)
         return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
     assert sinks.scratch_root(session("yarn", "hdfs://x/shared/")) == "hdfs://x/shared"
     assert sinks.scratch_root(session("local[4]", "/shared")) == "/shared"
-    assert sinks.scratch_root(session("local[4]")).startswith("/tmp")
+    assert sinks.scratch_root(session("local[4]")) == "file:/w/house/_scratch"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         sinks.scratch_root(session("yarn"))
 
@@ -175,11 +210,11 @@ def test_rebuild_keeps_the_table_until_the_new_one_is_whole(spark, tmp_path):
     with pytest.raises(Exception, match="bad row"):
         sinks.rebuild_table(broken, name, path, (), ["id"])
     assert spark.table(name).count() == 5
-    assert len(list(Path(path).glob("m__b*/_SUCCESS"))) == 1
+    assert len(list(Path(path).glob("m__b*/_SUCCESS"))) == 2
     # A run may read the table it replaces.
     sinks.rebuild_table(spark.table(name).where("id < 2"), name, path)
     assert spark.table(name).count() == 2
-    assert len(list(Path(path).glob("m__b*"))) == 1
+    assert len(list(Path(path).glob("m__b*"))) == 2  # the one shown, and the one before for readers still on it
 
 
 def test_partition_pruning(spark, tmp_path):

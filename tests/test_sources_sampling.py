@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import sampling
 from ledgerloom.sources import SPECS, jdbc_options, month_predicates, read_source, reference_dim
-from ledgerloom.sources.contracts import INGESTED
+from ledgerloom.sources.contracts import INGESTED, TRANSACTIONS
+from ledgerloom.sources.readers import sources_from_jdbc
 
 
 def test_contracts():
@@ -24,7 +26,10 @@ def test_jdbc_options():
     assert core["dbtable"] == "public.accounts" and core["user"] == "u"
     assert [core[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["account_id", "1", "900", "30"]
     txn = jdbc_options(SPECS["transactions"], {"url": "jdbc:mysql://db/txn"})
-    assert txn["url"].endswith("?connectionTimeZone=Asia/Jakarta") and txn["dbtable"] == "transactions"
+    assert txn["url"] == "jdbc:mysql://db/txn?connectionTimeZone=Asia/Jakarta&useCursorFetch=true"
+    assert txn["dbtable"] == "transactions" and "useCursorFetch" not in core["url"]
+    set_ = jdbc_options(SPECS["transactions"], {"url": "jdbc:mysql://db/txn?useCursorFetch=false"})
+    assert set_["url"] == "jdbc:mysql://db/txn?useCursorFetch=false&connectionTimeZone=Asia/Jakarta"
     assert txn["preferTimestampNTZ"] == "true" and "partitionColumn" not in txn
 
 
@@ -36,6 +41,36 @@ def test_month_predicates_cover_every_date_once(spark):
     assert days.where(hits != 1).count() == 0
 
 
+def test_jdbc_scan_by_month_or_key():
+    """What is asked of the reader; nothing is connected to."""
+    asked = {}
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            asked["options"] = options
+            return self
+
+        def load(self):
+            return "by key"
+
+        def jdbc(self, url, table, predicates, properties):
+            asked.update(url=url, table=table, predicates=predicates, properties=properties)
+            return "by month"
+
+    session = SimpleNamespace(read=Reader())
+    to = {"url": "jdbc:mysql://db/txn", "user": "u"}
+    months = ("transaction_date", date(2024, 1, 1), date(2024, 3, 1))
+    assert read_source(session, SPECS["transactions"], connection=to, months=months, bounds=(1, 2, 3)) == "by month"
+    assert len(asked["predicates"]) == 5 and asked["table"] == "transactions"
+    assert "partitionColumn" not in asked["properties"] and asked["properties"]["user"] == "u"
+    found = sources_from_jdbc(session, {TRANSACTIONS: to})
+    assert found["merchants"]() == "by key" and asked["options"]["dbtable"] == "merchants"
+    assert "customers" not in found
+
+
 def test_read_source(spark, tmp_path):
     spark.range(3).withColumnRenamed("id", "branch_id").write.parquet(str(tmp_path / "b"))
     df = read_source(spark, SPECS["branches"], path=str(tmp_path / "b"))
