@@ -21,21 +21,45 @@ from ledgerloom.oracle.relations import (
 )
 from ledgerloom.plans.checks import ALL_CHECKS
 from ledgerloom.sources.contracts import INGESTED, SPECS
+from ledgerloom.sources.dims import DIMS
 from ledgerloom.sources.testbed import MAPPINGS
 
-CONTRACT_TABLES = tuple(n for n in MAPPINGS if n in SPECS)
+CONTRACT_TABLES = tuple(SPECS)
 CHANNEL_WEIGHTS = {"mobile": 40, "atm": 20, "web": 15, "pos": 15, "branch": 5, "qris": 5}
 SNAPSHOT_RUNS = (datetime(2024, 1, 3), datetime(2024, 1, 9), datetime(2024, 1, 20), datetime(2024, 2, 1))
+
+
+def _held(name: str) -> list[str]:
+    """The columns a source table has here."""
+    return list(SPECS[name].columns) if name in DIMS else list(MAPPINGS[name].cols)
+
+
+#: Every source table: its key, and the key and all columns that may be null.
 RATED_TABLES = {
-    "customers": ("customer_id", ["customer_id", "income_range", "acquisition_channel", "phone_secondary"]),
-    "transactions": ("transaction_id", ["transaction_id", "merchant_id", "method_id"]),
-    "change_feed": ("customer_id", ["customer_id", "balance"]),
+    n: (s.key, [s.key, *(c for c in s.columns if c not in s.required and c in _held(n))]) for n, s in SPECS.items()
 }
+RATED_TABLES["change_feed"] = ("customer_id", ["customer_id", "balance"])
+
+EPOCH = "TIMESTAMP '1995-01-01 00:00:00'"
+STAGED = (
+    *("stg_customers", "stg_accounts", "stg_branches", "stg_employees", "stg_loan_applications"),
+    *("stg_credit_scores", "stg_merchants", "stg_transactions", "stg_fraud_flags"),
+)
 
 EXTRA: dict[str, str] = {}
 SQL: dict[str, str] = {}
 
 
+def source_rows(name: str) -> str:
+    """A source table with all its columns; literal dimensions are active and loaded at the epoch."""
+    if name not in DIMS:
+        return f"raw_{name}"
+    have = [part.split()[0] for part in DIMS[name][0].split(",")]
+    rest = [c for c in SPECS[name].columns if c not in have]
+    values = ", ".join(f"{'true' if c == 'is_active' else EPOCH} AS {c}" for c in rest)
+    return f"(SELECT *, {values} FROM raw_{name}) AS dated" if rest else f"raw_{name}"
+
+
 def assembled(text: str) -> str:
     return assemble(text, EXTRA)
 
@@ -97,7 +121,7 @@ SQL["dim_literals"] = " UNION ALL ".join(
 SQL["source_contract"] = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, '{c}' AS column_name,"
     f" '{SPECS[n].schema[c].dataType.simpleString()}' AS declared_type, count(*) AS rows,"
-    f" count(*) - count({c}) AS nulls FROM raw_{n}"
+    f" count(*) - count({c}) AS nulls FROM {source_rows(n)}"
     for n in CONTRACT_TABLES
     for c in SPECS[n].required
 )
@@ -143,13 +167,14 @@ SQL["ingest_tables"] = " UNION ALL ".join(
     )
     for n in INGESTED
 )
+SQL["ingest_backfill_stored"] = _newest("raw_change_feed", "customer_id")
 SQL["ingest_backfill"] = _newest("raw_change_feed", "customer_id")
 SQL["ingest_freshness"] = " UNION ALL ".join(
-    f"SELECT '{SPECS[n].system}' AS source, '{n}' AS table_name, max(updated_at) AS max_loaded_at,"
-    f" date_sub('second', max(updated_at), {NOW}) / 3600.0::DOUBLE AS age_hours,"
-    f" CASE WHEN date_sub('second', max(updated_at), {NOW}) > 49 * 3600 THEN 'error'"
-    f" WHEN date_sub('second', max(updated_at), {NOW}) > 25 * 3600 THEN 'warn' ELSE 'pass' END AS status"
-    f" FROM raw_{n}"
+    f"SELECT '{SPECS[n].system}' AS source, '{n}' AS table_name, max({SPECS[n].loaded_at}) AS max_loaded_at,"
+    f" date_sub('second', max({SPECS[n].loaded_at}), {NOW}) / 3600.0::DOUBLE AS age_hours,"
+    f" CASE WHEN date_sub('second', max({SPECS[n].loaded_at}), {NOW}) > 49 * 3600 THEN 'error'"
+    f" WHEN date_sub('second', max({SPECS[n].loaded_at}), {NOW}) > 25 * 3600 THEN 'warn' ELSE 'pass' END AS status"
+    f" FROM {source_rows(n)}"
     for n in CONTRACT_TABLES
 )
 SQL["insert_ignore"] = """
@@ -181,9 +206,10 @@ SELECT account_status, count(*) AS accounts, true AS stage_removed FROM raw_acco
 SQL["view_layer"] = """
 SELECT c.customer_segment, t.channel, count(*) AS transactions, CAST(sum(t.amount_idr) AS DOUBLE) AS volume_idr
 FROM stg_transactions t JOIN stg_customers c USING (customer_id) GROUP BY ALL"""
+SQL["view_counts"] = " UNION ALL ".join(f"SELECT '{m}' AS view_name, count(*) AS rows FROM {m}" for m in STAGED)
 SQL["target_namespace"] = " UNION ALL ".join(
     f"SELECT '{m}' AS model, count(*) AS rows, '{env}' AS env, '{name}' AS schema_name FROM {m}"
-    for m in ("stg_branches", "stg_merchants", "stg_customers")
+    for m in STAGED
     for env, name in (("prod", "staging"), ("ci", "ci_staging"), ("dev", "dev_staging"), ("laptop", "dev_staging"))
 )
 SQL["store_failures"] = """
@@ -495,7 +521,7 @@ def _rates(model: str, key: str, columns: list[str]) -> str:
     parts.append((key, "duplicate_rate", f"(count({key}) - count(DISTINCT {key})) * 100.0::DOUBLE / nullif(count(*), 0)", 0.1))
     return " UNION ALL ".join(
         f"SELECT '{model}' AS model, '{c}' AS column_name, '{metric}' AS metric, {rate} AS rate_pct,"
-        f" {rate} > {limit} AS exceeded FROM raw_{model}"
+        f" {rate} > {limit} AS exceeded FROM {source_rows(model) if model in SPECS else f'raw_{model}'}"
         for c, metric, rate, limit in parts
     )
 

@@ -393,6 +393,12 @@ def whole(relation: str) -> str:
     return dbl(relation, *DECIMALS.get(relation.removesuffix("_servicing"), ()))
 
 
+def as_text(relation: str) -> str:
+    """All of a relation, its amounts as text with two decimals."""
+    casts = ", ".join(f"CAST(CAST({c} AS DECIMAL(38,2)) AS VARCHAR) AS {c}" for c in DECIMALS[relation])
+    return f"SELECT * REPLACE ({casts}) FROM {relation}"
+
+
 def assemble(sql: str, extra: dict[str, str] | None = None) -> str:
     """Prefix the relations a query needs, directly or through others, as common table expressions."""
     known = RELATIONS | (extra or {})

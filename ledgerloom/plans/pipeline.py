@@ -110,11 +110,17 @@ def ingest_tables(
 
 
 def backfill(
-    spark: SparkSession, spec: TableSpec, source: DataFrame, windows: Sequence[Window], schema: str, warehouse: str
+    spark: SparkSession,
+    spec: TableSpec,
+    source: DataFrame,
+    windows: Sequence[Window],
+    schema: str,
+    warehouse: str,
+    tie_break: Sequence[str] = (),
 ) -> list[str]:
     """Stored runs over successive windows, oldest first, one at a time."""
     ensure_schema(spark, schema, warehouse)
-    return [ingest_table(spark, spec, source, w, schema, warehouse) for w in windows]
+    return [ingest_table(spark, spec, source, w, schema, warehouse, tie_break) for w in windows]
 
 
 def backfill_relation(

@@ -21,7 +21,7 @@ from ledgerloom.config import resolve_execution_date, target_schema
 from ledgerloom.operators import history, ingest, merge, quality, sampling, sinks
 from ledgerloom.operators.ranking import dedup_latest, newest_first, top1_per_group
 from ledgerloom.oracle import queries as sql
-from ledgerloom.oracle.relations import whole
+from ledgerloom.oracle.relations import as_text, whole
 from ledgerloom.plans import checks, marts, pipeline
 from ledgerloom.plans.staging import STAGING, typed_source
 from ledgerloom.sources import feeds, testbed
@@ -90,6 +90,18 @@ def _(spark, cat, sf):
     return marts.transaction_metrics(cat.ref("stg_transactions"), ("transaction_month_key", "channel"))
 
 
+def exact(df: DataFrame) -> DataFrame:
+    """Decimals as text of their scale, so that every digit is compared."""
+    return df.select(
+        [F.col(f.name).cast("string") if isinstance(f.dataType, T.DecimalType) else f.name for f in df.schema]
+    )
+
+
+for _name in ("mart_customer_360", "mart_transaction_analytics"):
+    QUERIES[f"{_name}_exact"] = lambda spark, sf, n=_name: exact(bed(spark, sf).ref(n))
+    ORACLE[f"{_name}_exact"] = sql.assembled(as_text(_name))
+
+
 # ---- sources ------------------------------------------------------------------------------------------
 
 
@@ -209,10 +221,10 @@ def _(spark, cat, sf):
     """Loads the seven tables into stored raw tables, two windows each, and counts what arrived."""
     schema, root = f"raw_{uuid.uuid4().hex[:12]}", scratch(spark, "raw")
     specs = [SPECS[n] for n in INGESTED]
-    for window in (
-        ingest.Window(datetime(1990, 1, 1), datetime(1998, 1, 1)),
-        ingest.Window(datetime(1998, 1, 1), datetime(2010, 1, 1)),
-    ):
+    ends = [w for s in specs if (w := feeds.span_of(cat.source(s.name), s.loaded_at))]
+    whole = ingest.Window(min(w.start for w in ends), max(w.end for w in ends))
+    middle = whole.start + (whole.end - whole.start) / 2
+    for window in (ingest.Window(whole.start, middle), ingest.Window(middle, whole.end)):
         pipeline.ingest_tables(spark, specs, cat.source, window, schema, root)
     return union_all(
         [
@@ -232,7 +244,20 @@ def _(spark, cat, sf):
 def _(spark, cat, sf):
     feed = cat.source("change_feed")
     nothing = feed.limit(0)
-    return pipeline.backfill_relation(nothing, feed, feeds.FEED_SPEC, feeds.WHOLE_FEED.split("day"), ["seq"])
+    whole = feeds.span_of(feed, "updated_at")
+    return pipeline.backfill_relation(nothing, feed, feeds.FEED_SPEC, whole.split("day") if whole else [], ["seq"])
+
+
+@query("ingest_backfill_stored")
+def _(spark, cat, sf):
+    """The feed week by week into a stored table: each run meets what the one before left."""
+    feed = cat.source("change_feed")
+    whole = feeds.span_of(feed, "updated_at")
+    days = whole.split("day") if whole else []
+    weeks = [ingest.Window(days[i].start, days[min(i + 7, len(days)) - 1].end) for i in range(0, len(days), 7)]
+    schema, root = f"fill_{uuid.uuid4().hex[:12]}", scratch(spark, "fill")
+    pipeline.backfill(spark, feeds.FEED_SPEC, feed, weeks, schema, root, ["seq"])
+    return spark.table(f"{schema}.{feeds.FEED_SPEC.name}").drop(sinks.PART)
 
 
 @query("ingest_freshness")
@@ -348,7 +373,7 @@ def _(spark, cat, sf):
 
 @query("view_layer")
 def _(spark, cat, sf):
-    pipeline.register_views(cat, ("stg_transactions", "stg_customers"))
+    pipeline.register_views(cat)
     return spark.sql(
         """
         SELECT c.customer_segment, t.channel, count(*) AS transactions, sum(t.amount_idr) AS volume_idr
@@ -358,6 +383,13 @@ def _(spark, cat, sf):
     )
 
 
+@query("view_counts")
+def _(spark, cat, sf):
+    """The rows of every staging model, read through its view."""
+    names = pipeline.register_views(cat)
+    return union_all([spark.table(n).agg(F.lit(n).alias("view_name"), F.count("*").alias("rows")) for n in names])
+
+
 @query("target_namespace")
 def _(spark, cat, sf):
     """Row counts per staging model under the name it has in each environment."""
@@ -368,8 +400,7 @@ def _(spark, cat, sf):
             for e in envs
         ]
     )
-    models = ("stg_branches", "stg_merchants", "stg_customers")
-    counted = [cat.ref(m).agg(F.lit(m).alias("model"), F.count("*").alias("rows")) for m in models]
+    counted = [cat.ref(m).agg(F.lit(m).alias("model"), F.count("*").alias("rows")) for m in STAGING]
     return union_all(counted).select("model", "rows", F.inline(names))
 
 

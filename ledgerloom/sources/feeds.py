@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.ingest import Window, window_filter
 from ledgerloom.operators.ranking import dedup_latest
@@ -35,6 +36,15 @@ BENT = {
 }
 
 
+def span_of(rows: DataFrame, loaded_at: str) -> Window | None:
+    """The whole days that the rows' load times cover; None without any."""
+    first, last = rows.agg(F.min(loaded_at), F.max(loaded_at)).first()
+    if first is None:
+        return None
+    days = [datetime(t.year, t.month, t.day) for t in (first, last)]
+    return Window(days[0], days[1] + timedelta(days=1))
+
+
 def stored_target(feed: DataFrame) -> DataFrame:
     first_half = window_filter(feed, "updated_at", Window(FEED_START, FEED_SPLIT))
     return dedup_latest(first_half, ["customer_id"], "updated_at", ["seq"])
