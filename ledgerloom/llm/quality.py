@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bucket, cut, texts
+from ledgerloom.llm.common import bucket, cut, hashed_sample, texts
 
 #: Classes of bytes whose shares describe the look of a text.
 BYTE_CLASSES = {
@@ -174,11 +174,14 @@ def samples(found: DataFrame, labels: DataFrame, key: str, fit_rows: int) -> tup
     labels = labels.groupBy(key).agg(F.min("quality").alias("label"))
     rows = found.where(~held_out(key)).join(labels, key, "left")
 
-    def take(which: Column) -> np.ndarray:
-        taken = rows.where(which).orderBy(F.xxhash64(key), key).limit(fit_rows).select("features").collect()
+    trusted, unknown = F.col("label") == 1, F.col("label").isNull()
+    totals = rows.agg(F.count_if(trusted), F.count_if(unknown)).first()
+
+    def take(which: Column, total: int) -> np.ndarray:
+        taken = hashed_sample(rows.where(which), total, fit_rows, key).select("features").collect()
         return np.array([r[0] for r in taken], np.float64).reshape(-1, N_FEATURES)
 
-    return take(F.col("label") == 1), take(F.col("label").isNull())
+    return take(trusted, totals[0]), take(unknown, totals[1])
 
 
 def score(found: DataFrame, model: Model | None, key: str = "doc_id") -> DataFrame:
