@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, ready
+from ledgerloom.llm.common import cut, hashed_sample, ready
 
 SAMPLE = 8192
 TOP = 20
@@ -205,7 +205,7 @@ def search(
     distinct = cut(classes(fine, top))
     total = distinct.count()
     parts = 2 ** max(0, min(8, round(math.log2(max(1, total) / per_part)))) if total else 1
-    taken = distinct.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("vec").collect()
+    taken = hashed_sample(distinct, total, sample, "rep").select("vec").collect()
     router = fit(np.array([r[0] for r in taken], np.float64), parts, recall)
     sent = spark.sparkContext.broadcast(router)
     element = fine.schema["vec"].dataType.simpleString()
