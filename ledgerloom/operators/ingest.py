@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
@@ -74,6 +74,31 @@ def project_cast(df: DataFrame, spec: TableSpec, evolve: bool = False) -> DataFr
     return df.selectExpr(*[f"CAST(`{c}` AS {types[c]}) AS `{c}`" for c in spec.columns], *[f"`{c}`" for c in extra])
 
 
+def broken_rows(df: DataFrame, spec: TableSpec) -> Column:
+    """Names of the required columns that are null in a row; empty for a row the warehouse takes."""
+    named = [F.when(F.col(c).isNull(), F.lit(c)) for c in spec.required if c in df.columns]
+    return F.array_compact(F.array(*named)) if named else F.expr("CAST(array() AS array<string>)")
+
+
+def required_only(df: DataFrame, spec: TableSpec, on_null: str = "refuse") -> DataFrame:
+    """Rows with all required columns. Others end the run ("refuse") or stay out ("aside": see ``set_aside``).
+
+    Decided row by row where the rows are; nothing is counted first.
+    """
+    names = broken_rows(df, spec)
+    if on_null == "aside":
+        return df.where(F.size(names) == 0)
+    if on_null != "refuse":
+        raise ValueError(f"on_null is 'refuse' or 'aside', not {on_null!r}")
+    said = F.concat(F.lit(f"[{spec.name}] null in required columns: "), F.array_join(names, ", "))
+    return df.where(F.when(F.size(names) == 0, True).otherwise(F.raise_error(said).cast("boolean")))
+
+
+def set_aside(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows that ``required_only`` keeps out, with the names of their null columns."""
+    return df.withColumn("null_columns", F.array_join(broken_rows(df, spec), ",")).where("null_columns != ''")
+
+
 def window_filter(df: DataFrame, column: str, window: Window) -> DataFrame:
     """Keep the rows of the window. The bare column is compared, so the filter is pushed to the scan."""
     return df.where((F.col(column) >= ts_lit(window.start)) & (F.col(column) < ts_lit(window.end)))

@@ -167,6 +167,11 @@ SQL["ingest_tables"] = " UNION ALL ".join(
     )
     for n in INGESTED
 )
+EXTRA["feed_keyed"] = "SELECT * FROM raw_change_feed WHERE seq % 7 <> 0"
+SQL["ingest_required_kept"] = _newest("feed_keyed", "customer_id")
+SQL["ingest_required_aside"] = """
+SELECT NULL::BIGINT AS customer_id, customer_segment, balance, updated_at, seq, 'customer_id' AS null_columns
+FROM raw_change_feed WHERE seq % 7 = 0"""
 SQL["ingest_backfill_stored"] = _newest("raw_change_feed", "customer_id")
 SQL["ingest_backfill"] = _newest("raw_change_feed", "customer_id")
 SQL["ingest_freshness"] = " UNION ALL ".join(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.catalog import Catalog
 from ledgerloom.config import target_schema
 from ledgerloom.operators.history import TRACKED_CUSTOMER_COLUMNS
-from ledgerloom.operators.ingest import Window, freshness, project_cast, window_filter
+from ledgerloom.operators.ingest import Window, freshness, project_cast, required_only, window_filter
 from ledgerloom.operators.merge import merge_upsert
 from ledgerloom.operators.quality import SINGULAR, Check, gate, quality_report, violations
 from ledgerloom.operators.ranking import dedup_latest
@@ -81,9 +81,14 @@ def ingest_table(
     schema: str,
     warehouse: str,
     tie_break: Sequence[str] = (),
+    on_null: str = "refuse",
 ) -> str:
-    """One ingestion run of one table, merged into its stored raw table."""
+    """One ingestion run of one table, merged into its stored raw table.
+
+    A null in a required column ends the run before the table changes; with ``on_null="aside"`` such rows stay out.
+    """
     increment = project_cast(window_filter(source, spec.loaded_at, window), spec, evolve=True)
+    increment = required_only(increment, spec, on_null)
     location = f"{warehouse}/{schema}/{spec.name}"
     return merge_into_table(spark, increment, f"{schema}.{spec.name}", spec, location, tie_break)
 

@@ -35,12 +35,16 @@ DIRECTIONS = {"credit": "credit", "reversal": "credit", "debit": "debit", "fee":
 
 
 def typed_source(cat: Catalog, name: str) -> DataFrame:
-    """A source with exactly its declared columns and types; one that the source lacks is null.
+    """A source with exactly its declared columns and types.
 
-    ANSI casts make a value that does not fit its type an error rather than a silent null.
+    A nullable column that the source lacks is null; a required one must be there. ANSI casts make a value that does
+    not fit its type an error rather than a silent null.
     """
     df = cat.source(name)
     given = {f.name: f.dataType for f in df.schema}
+    missing = [c for c in SPECS[name].required if c not in given]
+    if missing:
+        raise ValueError(f"[{name}] source lacks required columns: {', '.join(missing)}")
 
     def typed(column: str, kind: T.DataType) -> str:
         if given.get(column) == kind:

@@ -248,6 +248,24 @@ def _(spark, cat, sf):
     return pipeline.backfill_relation(nothing, feed, feeds.FEED_SPEC, whole.split("day") if whole else [], ["seq"])
 
 
+def _with_holes(feed: DataFrame) -> DataFrame:
+    hole = F.when(F.col("seq") % 7 != 0, F.col("customer_id"))
+    return feed.withColumn("customer_id", hole)
+
+
+@query("ingest_required_kept")
+def _(spark, cat, sf):
+    """The feed with holes in its key, loaded without the rows that the contract refuses."""
+    bent = ingest.project_cast(_with_holes(cat.source("change_feed")), feeds.FEED_SPEC)
+    return dedup_latest(ingest.required_only(bent, feeds.FEED_SPEC, "aside"), ["customer_id"], "updated_at", ["seq"])
+
+
+@query("ingest_required_aside")
+def _(spark, cat, sf):
+    bent = ingest.project_cast(_with_holes(cat.source("change_feed")), feeds.FEED_SPEC)
+    return ingest.set_aside(bent, feeds.FEED_SPEC)
+
+
 @query("ingest_backfill_stored")
 def _(spark, cat, sf):
     """The feed week by week into a stored table: each run meets what the one before left."""

@@ -214,3 +214,25 @@ def test_hot_key_ranking(spark):
     best = top1_per_group(df, ["k"], newest_first("t", "id"))
     assert flagged.where("is_latest").select("id").exceptAll(best.select("id")).count() == 0
     assert flagged.count() == df.count() and flagged.where("is_latest").count() == best.count()
+
+
+def test_required_columns_are_enforced(spark):
+    spec = TableSpec("core_banking", "things", "k", "k BIGINT NOT NULL, v STRING NOT NULL, t TIMESTAMP_NTZ", ("v",), loaded_at="t")
+    df = frame(spark, (1, "a", 1, 0), (None, "b", 1, 0), (None, None, 1, 0), (4, None, None, 0))
+    assert [r.k for r in ingest.required_only(df, spec, "aside").collect()] == [1]
+    assert sorted(r.null_columns for r in ingest.set_aside(df, spec).collect()) == ["k", "k,v", "v"]
+    assert ingest.required_only(df.limit(1), spec).count() == 1
+    with pytest.raises(Exception, match="null in required columns"):
+        ingest.required_only(df, spec).collect()
+    with pytest.raises(ValueError, match="on_null"):
+        ingest.required_only(df, spec, "skip")
+
+
+def test_missing_required_source_column_is_an_error(spark):
+    from helpers import mini, rows
+    from ledgerloom.plans.staging import typed_source
+
+    cat = mini(spark, accounts=rows(spark, "accounts").drop("balance"))
+    with pytest.raises(ValueError, match="accounts.*balance"):
+        typed_source(cat, "accounts")
+    assert "dpd" in typed_source(mini(spark, accounts=rows(spark, "accounts").drop("dpd")), "accounts").columns
