@@ -251,8 +251,9 @@ def contexts_of(rows: DataFrame, length: int, gram: int) -> DataFrame:
     anchors = rows.select("k1", "k2", "_text").mapInArrow(find, "k1 long, k2 long, gram long, place long")
     again = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     by_text = anchors.join(again, "gram").groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "gram", "n")).alias("found"))
-    # Rows that repeat wholly were counted twice above, so one of them is enough to be looked at.
-    joined = rows.select("k1", "k2", "_text", "_key").join(by_text, ["k1", "k2"]).select("k1", "k2", "_text", "found")
+    # The key comes along unused: so this is the shuffle of the texts that the last join of ``dedup`` uses again.
+    joined = rows.select("k1", "k2", "_text", "_key").join(by_text, ["k1", "k2"])
+    joined = joined.select("k1", "k2", "_text", "found", "_key")
     cut = joined.mapInArrow(cut_out, "k1 long, k2 long, anchor long, gram long, n long, context binary, left int")
     return cut.withColumn("context_hash", F.xxhash64("context", "left"))
 

@@ -75,10 +75,14 @@ def test_intervals_are_those_of_the_tree():
 
 
 def test_groups_have_all_occurrences_and_left_diversity():
+    # All four share "ABCD" after two bytes; the first three go on with "EF", the first and third with "EFyy".
     contexts = [b"xxABCDEFyy", b"zxABCDEFqq", b"kkABCDEFyy", b"kkABCD"]
-    groups = {r: (d, sorted(m.tolist()), l.tolist()) for r, d, m, l in s.repeats(contexts, [2] * 4, 6)}
-    assert groups[8][1] == [] if 8 in groups and not groups[8][1] else True
-    assert 6 in groups and groups[6][1] == [0, 1, 2] and groups[6][0] > 0
+    groups = {right: (diverse, sorted(zip(m.tolist(), left.tolist()))) for right, diverse, m, left in s.repeats(contexts, [2] * 4, 6)}
+    assert groups[8] == (1, [(0, 0), (2, 0)])
+    assert groups[6] == (2, [(0, 1), (1, 1), (2, 0)])
+    assert groups[4] == (2, [(2, 2), (3, 2)])
+    same = {right: diverse for right, diverse, *_ in s.repeats([b"abXXXXXX1", b"abXXXXXX2"], [2, 2], 6)}
+    assert same == {6: 0}  # part of a repeat that begins further left
 
 
 def test_long_text_is_cut_in_stretches(monkeypatch):
