@@ -189,7 +189,7 @@ def search(
     vector: str = "embedding",
     top: int = TOP,
     sample: int = SAMPLE,
-    per_part: int = 1024,
+    fineness: float = 14.0,
     block: int = 4096,
     recall: float = 0.95,
 ) -> DataFrame:
@@ -199,12 +199,15 @@ def search(
     fitted on at most ``sample`` distinct vectors, in the order of a hash, which is what the driver holds; every row
     is put into a part, and a query is compared with all rows of the parts it is routed to. Parts and their queries
     are cut into blocks of bounded size, so that no task holds a whole part. Equal vectors are compared once.
+
+    The number of parts grows with the root of the number of rows (divided by ``fineness``, 256 at most): every part
+    that a query visits hands on a list of its own, and those lists must not outgrow the rows.
     """
     spark = ready(rows.sparkSession)
     fine = usable(rows, key, vector)
     distinct = cut(classes(fine, top))
     total = distinct.count()
-    parts = 2 ** max(0, min(8, round(math.log2(max(1, total) / per_part)))) if total else 1
+    parts = 2 ** max(0, min(8, round(math.log2(math.sqrt(max(1, total)) / fineness))))
     taken = hashed_sample(distinct, total, sample, "rep").select("vec").collect()
     router = fit(np.array([r[0] for r in taken], np.float64), parts, recall)
     sent = spark.sparkContext.broadcast(router)

@@ -51,7 +51,7 @@ def test_routed_recall_and_blocks(spark):
     x[100:400] = x[7]  # one vector in 301 rows
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame([(i, v, None, 1) for i, v in rows], SCHEMA)
-    got = answers(ann.search(df, df.where("vec_id % 20 = 0"), per_part=128, block=60, sample=1200))
+    got = answers(ann.search(df, df.where("vec_id % 20 = 0"), fineness=3.0, block=60, sample=1200))
     want = brute(rows, range(0, 3000, 20))
     assert recall(got, want) >= 0.9 and all(len(g) == 20 for g in got.values())
     assert got[100] == want[100] and [i for i, _ in got[120]][:3] == [7, 100, 101]
