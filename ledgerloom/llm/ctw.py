@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import bucket, cut, texts
 
 DEPTH = 4
-#: A node deeper than one byte is kept for prediction if this share of all training bytes passes it. At most
-#: 1 / SHARE nodes of a depth and bit can, so the tree that is sent out is bounded at any size of the corpus.
-SHARE = 2.0**-18
+#: The scores of grams with this share of all bytes are sent to where the texts are; there are at most 1 / SHARE. Other
+#: grams are joined to their scores: the share decides where a gram is looked up, never what its score is.
+SHARE = 2.0**-21
 #: Words with this share of the training tokens are scored where the text is; there are at most 1 / FREQUENT.
 FREQUENT = 2e-6
 END = ""  # the end token; no word is empty
+GRAM = " "  # stands for the word of a row that has a gram; no word has white space
 CHUNK = 1 << 21
 _CACHE_BITS = 20
 
@@ -190,13 +191,52 @@ def subtrees(grams: np.ndarray, n: np.ndarray, depth: int, top: int):
         yield d, node, n0, n1, weighted, share
 
 
+class Cached:
+    """Keeps what this worker has looked up by ``log10_of`` in a table of fixed size."""
+
+    cache: tuple[np.ndarray, np.ndarray] | None = None
+
+    def log10_of(self, grams: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+    def cached(self, grams: np.ndarray) -> np.ndarray:
+        """As ``log10_of``."""
+        if self.cache is None:
+            self.cache = (np.full(1 << _CACHE_BITS, 2**64 - 1, np.uint64), np.zeros(1 << _CACHE_BITS))
+        keys, values = self.cache
+        slot = ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CACHE_BITS)).astype(np.int64)
+        out = values[slot]
+        missing = np.flatnonzero(keys[slot] != grams)
+        if len(missing):
+            unique, at = np.unique(grams[missing], return_inverse=True)
+            known = self.log10_of(unique)
+            out[missing] = known[at]
+            where = slot[missing]
+            keys[where], values[where] = grams[missing], known[at]
+        return out
+
+
+@dataclass
+class Table(Cached):
+    """Scores of some grams, sorted."""
+
+    grams: np.ndarray
+    scores: np.ndarray
+
+    def log10_of(self, grams: np.ndarray) -> np.ndarray:
+        """The grams' scores; NaN for those not in the table."""
+        if not len(self.grams):
+            return np.full(len(grams), np.nan)
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[at] == grams, self.scores[at], np.nan)
+
+
 @dataclass
-class Tree:
+class Tree(Cached):
     """Estimates of a one and own shares by depth: sorted node keys, and their values."""
 
     depth: int
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    cache: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False, compare=False)
 
     def log10_of(self, grams: np.ndarray) -> np.ndarray:
         """Log10 of the probability of each gram's byte after its context."""
@@ -222,27 +262,17 @@ class Tree:
             total += np.log10(np.where(bit, p, 1 - p))
         return total
 
-    def cached(self, grams: np.ndarray) -> np.ndarray:
-        """As ``log10_of``; what this worker has looked up is kept in a table of fixed size."""
-        if self.cache is None:
-            self.cache = (np.full(1 << _CACHE_BITS, 2**64 - 1, np.uint64), np.zeros(1 << _CACHE_BITS))
-        keys, values = self.cache
-        slot = ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CACHE_BITS)).astype(np.int64)
-        out = values[slot]
-        missing = np.flatnonzero(keys[slot] != grams)
-        if len(missing):
-            unique, at = np.unique(grams[missing], return_inverse=True)
-            known = self.log10_of(unique)
-            out[missing] = known[at]
-            where = slot[missing]
-            keys[where], values[where] = grams[missing], known[at]
-        return out
+
+def level(node: np.ndarray, n0: np.ndarray, n1: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(node)
+    ones = (n1 + 0.5) / (n0 + n1 + 1)
+    return node[order].astype(np.uint64), ones[order].astype(np.float32), own[order].astype(np.float32)
 
 
-def train_tree(counted: DataFrame, depth: int = DEPTH, share: float = SHARE) -> Tree:
-    """The tree of all gram counts.
+def train_tree(counted: DataFrame, depth: int = DEPTH, share: float = 2.0) -> Tree:
+    """The tree of all gram counts, with the nodes deeper than one byte that ``share`` of all bytes passes.
 
-    Subtrees under two bytes of context are computed where their counts are; their number of grams is bounded by the
+    By default none are kept: ``gram_scores`` makes them where the grams are. With 0 all are, on the driver. Subtrees under two bytes of context are computed where their counts are; their number of grams is bounded by the
     bytes that can stand in a gram. The two levels above are sums over at most 65,536 nodes, which the driver finishes.
     """
     width = 8 * depth + 8
@@ -274,11 +304,6 @@ def train_tree(counted: DataFrame, depth: int = DEPTH, share: float = SHARE) ->
         table = df.select(*names).toArrow()
         return [table.column(c).to_numpy() for c in names]
 
-    def level(node, n0, n1, own) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.argsort(node)
-        ones = (n1 + 0.5) / (n0 + n1 + 1)
-        return node[order].astype(np.uint64), ones[order].astype(np.float32), own[order].astype(np.float32)
-
     levels: list = [None] * (depth + 1)
     kept = nodes.where(F.col("n0") + F.col("n1") >= least)
     for d in range(top, depth + 1):
@@ -298,6 +323,35 @@ def train_tree(counted: DataFrame, depth: int = DEPTH, share: float = SHARE) ->
     return Tree(depth, levels)
 
 
+def gram_scores(grams: DataFrame, tree: Tree) -> DataFrame:
+    """(gram, uses, score) of all ``grams`` (gram, n, uses): what the whole tree says of each, also of those with n = 0.
+
+    ``tree`` has the nodes of up to one byte of context. All deeper nodes on a gram's path belong to the subtree of its
+    two nearest bytes, so they are made where the grams with these bytes are, and none is dropped.
+    """
+    depth, top = tree.depth, min(2, tree.depth)
+    sent = grams.sparkSession.sparkContext.broadcast(tree.levels[:top])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = [[b.column(i).to_numpy() for i in range(3)] for b in batches]
+        if not sum(len(g) for g, _, _ in every):
+            return
+        keys, n, uses = (np.concatenate(x) for x in zip(*every))
+        keys, trained = keys.astype(np.uint64), n > 0
+        deeper = [level(*(np.zeros(0) for _ in range(4))) for _ in range(top, depth + 1)]
+        if trained.any():
+            for d, node, n0, n1, _, own in subtrees(keys[trained], n[trained], depth, top):
+                deeper[d - top] = level(node, n0, n1, own)
+        whole = Tree(depth, [*sent.value, *deeper])
+        for i in range(0, len(keys), 200_000):
+            part = keys[i : i + 200_000]
+            columns = [pa.array(part.view(np.int64)), pa.array(uses[i : i + 200_000]), pa.array(whole.log10_of(part))]
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "uses", "score"])
+
+    by = F.shiftrightunsigned("gram", 8 * depth + 8 - 8 * top)
+    return grams.select("gram", "n", "uses").repartition(by).mapInArrow(run, "gram long, uses long, score double")
+
+
 # ---- scores -------------------------------------------------------------------------------------------
 
 
@@ -311,89 +365,109 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int
     ``score`` is the tree's log10 probability of the lower-cased text, bits_per_byte its code length (0 for the empty
     text); null is the empty text. With nothing to learn from, every word is unknown and every bit even.
 
-    Frequent words are looked up where the text is. Rare ones are joined to their counts, a row for each word of each
-    text; what a word adds is summed by key and text, so repeated rows share a sum, which the number of end tokens
-    among them divides.
+    Frequent words and grams are looked up where the text is. Rare ones are joined to their counts and scores, a row
+    for each word and gram of each text; what they add is summed by key and text, so repeated rows share a sum, which
+    the number of end tokens among them divides.
     """
     spark = docs.sparkSession
     counted = cut(counts(docs.where(~held_out(key)), key, text, depth))
-    tree = train_tree(counted, depth)
+    unseen = counts(docs.where(held_out(key)), key, text, depth).where("gram IS NOT NULL")
+    asked = counted.where("gram IS NOT NULL").select("gram", "n", F.col("n").alias("uses"))
+    asked = asked.unionByName(unseen.select("gram", F.lit(0).cast("long").alias("n"), F.col("n").alias("uses")))
+    asked = asked.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+    scored = cut(gram_scores(asked, train_tree(counted, depth)))
+    least = (scored.agg(F.sum("uses")).first()[0] or 0) * SHARE
+    table = scored.where(F.col("uses") >= least).select("gram", "score").toArrow()
+    table = [table.column(i).to_numpy() for i in range(2)]
+    order = np.argsort(table[0].astype(np.uint64))
+    table_sent = spark.sparkContext.broadcast(Table(table[0].astype(np.uint64)[order], table[1][order]))
     vocabulary = counted.where("word IS NOT NULL").select("word", F.col("n").alias("c"))
     known, distinct = vocabulary.agg(F.sum("c"), F.count("*")).first()
     known = known or 0
-    frequent = vocabulary.where(F.col("c") >= max(1.0, known * FREQUENT))
+    frequent = vocabulary.where((F.col("c") >= max(1.0, known * FREQUENT)) | (F.col("word") == END))
     frequent = {w.encode(): c for w, c in frequent.collect()}
     frequent_sent = spark.sparkContext.broadcast(frequent)
-    tree_sent = spark.sparkContext.broadcast(tree)
     scale = math.log10(known + 0.1 * (distinct + 1))
     kind = docs.schema[key].dataType.simpleString()
     rows = texts(docs, key, text).withColumn("hash", F.xxhash64(text))
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, model = frequent_sent.value, tree_sent.value
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, with what is known here, and one for each of its other words and grams."""
+        common, model = frequent_sent.value, table_sent.value
         for batch in batches:
             raw = [lowered(t) for t in batch.column(1).to_pylist()]
-            seen, base, size = [], [], []
-            for r in raw:
-                words = Counter(r.split())
-                words[b""] = 1
-                hits = [(n, common[w]) for w, n in words.items() if w in common]
-                seen.append(sum(n for n, _ in hits))
-                base.append(math.fsum(n * math.log10(c + 0.1) for n, c in hits))
-                size.append(words.total())
-            total = np.zeros(len(raw))
-            for grams, owner in contexts(raw, model.depth):
-                total += np.bincount(owner, weights=model.cached(grams), minlength=len(raw))
-            n_bytes = np.array([len(r) for r in raw], np.int64)
-            columns = [pa.array(size, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64())]
-            columns += [pa.array(total), pa.array(n_bytes)]
-            names = [key, "hash", "n_tokens", "seen", "base", "score", "n_bytes"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=names)
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = frequent_sent.value
-        for batch in batches:
-            raw = [lowered(t) for t in batch.column(1).to_pylist()]
-            owner, word, uses = [], [], []
+            score = np.zeros(len(raw))
+            for grams, owner in contexts(raw, depth):
+                found = model.cached(grams)
+                missing = np.isnan(found)
+                score += np.bincount(owner, weights=np.where(missing, 0.0, found), minlength=len(raw))
+                if missing.any():
+                    order = np.lexsort((grams[missing], owner[missing]))
+                    gram, who = grams[missing][order], owner[missing][order]
+                    first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (who[1:] != who[:-1])]))
+                    uses = np.diff(np.append(first, len(gram)))
+                    for i in range(0, len(first), 200_000):
+                        at = first[i : i + 200_000]
+                        yield give(batch, who[at], [GRAM] * len(at), gram[at].view(np.int64), uses[i : i + 200_000])
+            owner, word, uses, seen, base = [], [], [], [], []
             for i, r in enumerate(raw):
                 own = Counter(r.split())
-                own = [(w, n) for w, n in own.items() if w not in common]
-                owner += [i] * (len(own) + 1)
-                word += [w.decode("utf-8", "replace") for w, _ in own]
-                word.append(END)
-                uses += [n for _, n in own]
-                uses.append(1)
+                hits = [(n, common[w]) for w, n in own.items() if w in common]
+                hits += [(1, common[b""])] if b"" in common else []
+                seen.append(sum(n for n, _ in hits))
+                base.append(math.fsum(n * math.log10(c + 0.1) for n, c in hits))
+                rare = [(w, n) for w, n in own.items() if w not in common]
+                owner += [i] * len(rare)
+                word += [w.decode("utf-8", "replace") for w, _ in rare]
+                uses += [n for _, n in rare]
                 if len(word) > 200_000:
-                    yield give(batch, owner, word, uses)
+                    yield give(batch, owner, word, np.zeros(len(word), np.int64), uses)
                     owner, word, uses = [], [], []
-            yield give(batch, owner, word, uses)
+            yield give(batch, owner, word, np.zeros(len(word), np.int64), uses)
+            # The end tokens have one word; their grams only spread them over the tasks of the join.
+            ends, spread = [END] * len(raw), batch.column(2).to_numpy()
+            yield give(batch, range(len(raw)), ends, spread, [int(b"" not in common)] * len(raw), seen, base, score)
 
-    def give(batch: pa.RecordBatch, owner: list, word: list, uses: list) -> pa.RecordBatch:
+    def give(batch: pa.RecordBatch, owner, word, gram, uses, *near) -> pa.RecordBatch:
         at = pa.array(owner, pa.int64())
-        columns = [batch.column(0).take(at), batch.column(2).take(at), pa.array(word, pa.string()), pa.array(uses, pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=[key, "hash", "word", "uses"])
+        columns = [batch.column(0).take(at), batch.column(2).take(at), pa.array(word, pa.string()), pa.array(gram, pa.int64()), pa.array(uses, pa.int64())]
+        kinds = {"seen": pa.int64(), "base": pa.float64(), "score": pa.float64()}
+        columns += [pa.array(x, k) for x, k in zip(near, kinds.values())] or [pa.nulls(len(at), k) for k in kinds.values()]
+        return pa.RecordBatch.from_arrays(columns, names=[key, "hash", "word", "gram", "uses", *kinds])
 
-    near_rows = rows.mapInArrow(
-        near, f"{key} {kind}, hash long, n_tokens long, seen long, base double, score double, n_bytes long"
+    at_once = rows.mapInArrow(
+        look_up, f"{key} {kind}, hash long, word string, gram long, uses long, seen long, base double, score double"
     )
-    end_known = F.lit(b"" in frequent)
-    far = rows.mapInArrow(rare, f"{key} {kind}, hash long, word string, uses int").join(vocabulary, "word", "left")
-    counts_here = (F.col("word") != END) | ~end_known
-    far = far.groupBy(key, "hash").agg(
-        F.sum(F.when(counts_here & F.col("c").isNotNull(), F.col("uses")).otherwise(0)).alias("far_seen"),
-        F.sum(F.when(counts_here & F.col("c").isNotNull(), F.col("uses") * F.log10(F.col("c") + 0.1)).otherwise(0.0)).alias("far_base"),
-        F.sum(F.when(counts_here, F.col("uses")).otherwise(0)).alias("far_all"),
+    zero = F.lit(0).cast("long")
+    there = vocabulary.select("word", zero.alias("gram"), "c", F.lit(None).cast("double").alias("found"))
+    rest = scored.where(F.col("uses") < least)
+    there = there.unionByName(rest.select(F.lit(GRAM).alias("word"), "gram", zero.alias("c"), F.col("score").alias("found")))
+    is_word = F.col("word") != GRAM
+    hit = is_word & F.col("c").isNotNull()
+    sums = at_once.join(there, ["word", "gram"], "left").groupBy(key, "hash").agg(
+        F.sum(F.when(hit, F.col("uses")).otherwise(0)).alias("far_seen"),
+        F.sum(F.when(hit, F.col("uses") * F.log10(F.col("c") + 0.1)).otherwise(0.0)).alias("far_base"),
+        F.sum(F.when(is_word, F.col("uses")).otherwise(0)).alias("far_all"),
+        F.sum(F.when(is_word, 0.0).otherwise(F.col("uses") * F.col("found"))).alias("far_score"),
+        F.sum("seen").alias("seen"),
+        F.sum("base").alias("base"),
+        F.sum("score").alias("near_score"),
         F.sum(F.when(F.col("word") == END, 1).otherwise(0)).alias("copies"),
     )
-    far = far.withColumnRenamed(key, "_key").withColumnRenamed("hash", "_hash")
-    joined = near_rows.join(far, F.col(key).eqNullSafe(F.col("_key")) & (F.col("hash") == F.col("_hash")))
+    sums = sums.withColumnRenamed(key, "_key").withColumnRenamed("hash", "_hash")
+    each = rows.select(key, "hash", F.octet_length(text).alias("n_bytes"))
+    joined = each.join(sums, F.col(key).eqNullSafe(F.col("_key")) & (F.col("hash") == F.col("_hash")))
+    joined = joined.withColumns({
+        "n_tokens": ((F.col("seen") + F.col("far_all")) / F.col("copies")).cast("long"),
+        "score": (F.col("near_score") + F.col("far_score")) / F.col("copies"),
+    })
     unknown = (F.col("far_all") - F.col("far_seen")) / F.col("copies")
-    base = F.col("base") + F.col("far_base") / F.col("copies") - unknown - F.col("n_tokens") * scale
+    base = (F.col("base") + F.col("far_base")) / F.col("copies") - unknown - F.col("n_tokens") * scale
     return joined.select(
         key,
         held_out(key).alias("held_out"),
         "n_tokens",
-        (F.col("seen") + F.col("far_seen") / F.col("copies")).cast("long").alias("n_known"),
+        ((F.col("seen") + F.col("far_seen")) / F.col("copies")).cast("long").alias("n_known"),
         F.lit(known).cast("long").alias("train_tokens"),
         base.alias("base_score"),
         "score",

@@ -136,3 +136,20 @@ def test_stretches_join(monkeypatch):
     parts = list(ctw.contexts(texts, 4))
     assert np.array_equal(np.concatenate([g for g, _ in parts]), whole)
     assert np.array_equal(np.bincount(np.concatenate([o for _, o in parts]), minlength=4), [len(t) for t in texts])
+
+
+def test_rare_grams_keep_their_depth(spark, monkeypatch):
+    """More than 2^21 bytes: under a share of 2^-18 a context seen fewer than 8 times was cut off."""
+    rare = [(1_000 + i, f"qzj{chr(97 + i)}w xvk{chr(97 + i)}q") for i in range(20)]
+    pairs = [(i, f"the quiet word {i % 7} of an ordinary page " * 600) for i in range(100)] + rare + [*rare[:2]]
+    docs = docs_of(spark, pairs)
+    train = docs.where(~ctw.held_out())
+    whole = ctw.train_tree(ctw.counts(train), share=0.0)
+    total = train.selectExpr("sum(length(text))").first()[0]
+    assert total * 2.0**-18 > 7
+    for share in (ctw.SHARE, 2.0**-4):
+        monkeypatch.setattr(ctw, "SHARE", share)
+        got = {r.doc_id: r.score for r in ctw.scores(docs).collect()}
+        for i, text in pairs:
+            grams = np.concatenate([g for g, _ in ctw.contexts([ctw.lowered(text)])])
+            assert abs(got[i] - whole.cached(grams).sum()) < 1e-6 * abs(got[i]), (share, i)
