@@ -19,8 +19,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return simhash.keep_one_similar(docs).select(COLUMNS)
+    """Keep the document with the smallest id of each group whose SimHash fingerprints link: 3-word shingles, 3 bits."""
+    return simhash.keep_one(docs).select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
