@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -65,12 +66,36 @@ def linked(group: Tokens) -> list[int]:
     return links
 
 
+def links_of(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, links) of tokens that begin at one byte: each stretch between two ends is what one pair shares."""
+    ends = np.union1d(a_ends, b_ends)
+    ends = ends[ends <= min(a_ends[-1], b_ends[-1])]
+    return ends, a[np.searchsorted(a_ends, ends)] * STEP + b[np.searchsorted(b_ends, ends)]
+
+
+def words(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The ids of both in the order of their groups, each spelled with the mark that follows it."""
+    of_a, of_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+    last_a, last_b = np.append(of_a[1:] != of_a[:-1], True), np.append(of_b[1:] != of_b[:-1], True)
+    out = np.empty(len(a) + len(b), object)
+    comma, bar, semicolon = _spellings()
+    out[np.arange(len(a)) + np.searchsorted(of_b, of_a, "left")] = np.where(last_a[: len(a)], bar[a], comma[a])
+    out[np.arange(len(b)) + np.searchsorted(of_a, of_b, "right")] = np.where(last_b[: len(b)], semicolon[b], comma[b])
+    return out
+
+
+@cache
+def _spellings() -> tuple[np.ndarray, ...]:
+    return tuple(np.array([f"{i}{mark}" for i in range(1 << 16)], object) for mark in ",|;")
+
+
 @dataclass
 class Fragment:
     """A range of bytes, as far as it can be aligned without its neighbours.
 
     Tokens belong to the range that they end in. ``head``: those up to the first byte where both tokenizers end one,
-    or all if there is none (``closed`` is None then). ``closed``: the ``n`` groups after it, spelled, and their links.
+    or all if there is none (``closed`` is None then). ``closed``: the ``n`` groups after it, spelled one by one or in
+    runs, and their links.
     ``tail``: the tokens after the last such byte. Fragments of adjoining ranges compose, ``a + b``; composition is
     associative, and the fragment of no tokens is its neutral element.
     """
@@ -83,17 +108,17 @@ class Fragment:
 
     @staticmethod
     def of(tokens: Tokens) -> Fragment:
-        runs, begin_a, begin_b = [], 0, 0
-        for end in sorted(set(tokens.a_ends) & set(tokens.b_ends)):
-            to_a = tokens.a_ends.index(end, begin_a) + 1
-            to_b = tokens.b_ends.index(end, begin_b) + 1
-            runs.append(Tokens(tokens.a[begin_a:to_a], tokens.a_ends[begin_a:to_a], tokens.b[begin_b:to_b], tokens.b_ends[begin_b:to_b]))
-            begin_a, begin_b = to_a, to_b
-        rest = Tokens(tokens.a[begin_a:], tokens.a_ends[begin_a:], tokens.b[begin_b:], tokens.b_ends[begin_b:])
-        if not runs:
-            return Fragment(rest)
-        links = [x for run in runs[1:] for x in linked(run)]
-        return Fragment(runs[0], [spelled(r.a, r.b) for r in runs[1:]], len(runs) - 1, [np.array(links, np.int64)], rest)
+        a, a_ends, b, b_ends = (np.array(x, np.int64) for x in (tokens.a, tokens.a_ends, tokens.b, tokens.b_ends))
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        if not len(cuts):
+            return Fragment(tokens)
+        ends, links = links_of(a, a_ends, b, b_ends)
+        first_a, first_b, last_a, last_b = (int(np.searchsorted(e, c, "right")) for c in (cuts[0], cuts[-1]) for e in (a_ends, b_ends))
+        head = Tokens(tokens.a[:first_a], tokens.a_ends[:first_a], tokens.b[:first_b], tokens.b_ends[:first_b])
+        tail = Tokens(tokens.a[last_a:], tokens.a_ends[last_a:], tokens.b[last_b:], tokens.b_ends[last_b:])
+        inside = words(*(x[p:q] for x, p, q in ((a, first_a, last_a), (a_ends, first_a, last_a), (b, first_b, last_b), (b_ends, first_b, last_b))), cuts)
+        closed = ["".join(inside)[:-1]] if len(inside) else []
+        return Fragment(head, closed, len(cuts) - 1, [links[(ends > cuts[0]) & (ends <= cuts[-1])]], tail)
 
     def __add__(self, other: Fragment) -> Fragment:
         if self.closed is None:
@@ -130,8 +155,9 @@ class Pair:
     """Both tokenizers, and the aligned tokens of units met before.
 
     A unit is white space and what follows it up to the next: neither tokenizer has a token that reaches over the
-    border of two, so units are aligned one by one and frequent ones are looked up. Texts with other white space
-    than spaces and line ends, or with some at their end, are taken as a whole.
+    border of two, so each unit is aligned once, and a text is the chain of its units. Texts with other white space
+    than spaces and line ends, or with some at their end, are taken as a whole. The table of units is emptied when
+    it holds ``most``.
     """
 
     def __init__(self, byte_model: str, piece_model: str, most: int = 200_000) -> None:
@@ -140,7 +166,8 @@ class Pair:
 
         with open(byte_model, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.bytes_of = {i: len(b) for b, i in ranks.items()}
+        self.a_bytes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.a_bytes[list(ranks.values())] = list(map(len, ranks))
         self.encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.model = sentencepiece.SentencePieceProcessor(model_file=piece_model)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
@@ -148,8 +175,15 @@ class Pair:
         self.spelling = [
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
-        inside = [p for p in pieces if "\n" in p or "▁" in p.lstrip("▁")]
-        self.by_unit, self.known, self.most = not inside, {}, most
+        self.b_bytes = np.array(list(map(len, self.spelling)))
+        self.by_unit, self.most = not [p for p in pieces if "\n" in p or "▁" in p.lstrip("▁")], most
+        self.forget()
+
+    def forget(self) -> None:
+        #: By the number of a unit: (tokens of A, of B, groups), -1 where they do not spell it; groups; where links begin.
+        self.number: dict[str, int] = {}
+        self.sizes, self.groups, self.begins = np.zeros((0, 3), np.int64), [], np.zeros(1, np.int64)
+        self.links = np.zeros(0, np.int64)
 
     def pieces(self, text: str) -> list[int]:
         """Ids of B for text that begins with the space that B adds by itself, or with a line end."""
@@ -158,50 +192,75 @@ class Pair:
         return self.model.encode(text[1:]) if text[0] == " " else self.model.encode(text)[1:]
 
     def tokens(self, text: str, at: int = 0) -> Tokens | None:
-        """The tokens of a text with its leading space; None if A's or B's bytes are not its bytes."""
-        a, b = self.encode(text), self.pieces(text)
-        spelling = [self.spelling[i] for i in b]
-        raw = text.encode()
-        if b"".join(spelling) != raw:
+        """The tokens of a text with its leading space or line end; None if B's bytes are not its bytes."""
+        a, b, raw = self.encode(text), self.pieces(text), text.encode()
+        if b"".join(map(self.spelling.__getitem__, b)) != raw:
             return None
-        a_ends = (np.cumsum([self.bytes_of[i] for i in a]) + at).tolist()
+        a_ends = (np.cumsum(self.a_bytes[a]) + at).tolist()
         assert a_ends[-1] == at + len(raw)
-        return Tokens(a, a_ends, b, (np.cumsum([len(s) for s in spelling]) + at).tolist())
+        return Tokens(a, a_ends, b, (np.cumsum(self.b_bytes[b]) + at).tolist())
 
     def units(self, text: str) -> list[str] | None:
         found = _UNITS.findall(text)
         whole = self.by_unit and sum(map(len, found)) == len(text) and not _OTHER_SPACE.search(text)
         return found if whole else None
 
-    def unit(self, unit: str) -> tuple[int, int, int, str, list[int]] | None:
-        """(tokens of A, of B, groups, groups spelled, links) of a unit."""
-        if unit in self.known:
-            return self.known[unit]
-        if len(self.known) >= self.most:
-            self.known.clear()
-        tokens = self.tokens(unit)
-        if tokens is None:
-            found = None
-        else:
-            groups, n, links = Fragment.of(tokens).groups()
-            found = len(tokens.a), len(tokens.b), n, ";".join(groups), links.tolist()
-        self.known[unit] = found
-        return found
-
-    def aligned(self, text: str) -> tuple[int, int, int, str, np.ndarray] | None:
-        """As ``unit``, of a whole text with its leading space."""
-        units = self.units(text)
-        if units is None:
-            tokens = self.tokens(text)
-            if tokens is None:
-                return None
-            groups, n, links = Fragment.of(tokens).groups()
-            return len(tokens.a), len(tokens.b), n, ";".join(groups), links
-        found = list(map(self.unit, units))
-        if None in found:
-            return None
-        a, b, n, groups, links = zip(*found)
-        return sum(a), sum(b), sum(n), ";".join(groups), np.fromiter(chain.from_iterable(links), np.int64)
+    def learn(self, units: list[str], size: int = 4096) -> None:
+        """Align new units: many at once, as one text, and one by one where that text is not spelled by B."""
+        sizes, links, counts = [self.sizes], [self.links], []
+        for begin in range(0, len(units), size):
+            some = units[begin : begin + size]
+            for part in [some] if (whole := self.tokens("".join(some))) else [[u] for u in some]:
+                found = whole or self.tokens(part[0])
+                if found is None:
+                    sizes.append(np.array([[-1, -1, -1]]))
+                    self.groups.append("")
+                    counts.append(np.zeros(1, np.int64))
+                    continue
+                a, a_ends, b, b_ends = (np.array(x, np.int64) for x in (found.a, found.a_ends, found.b, found.b_ends))
+                ends = np.cumsum([len(u.encode()) for u in part])
+                cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+                assert np.isin(ends, cuts).all()
+                upto = [np.searchsorted(x, ends, "right") for x in (a_ends, b_ends, cuts)]
+                sizes.append(np.diff(np.stack(upto, 1), axis=0, prepend=0))
+                spelled_, to = words(a, a_ends, b, b_ends, cuts).tolist(), (upto[0] + upto[1]).tolist()
+                self.groups += ["".join(spelled_[p:q])[:-1] for p, q in zip([0, *to], to)]
+                link_ends, own = links_of(a, a_ends, b, b_ends)
+                links.append(own)
+                counts.append(np.diff(np.searchsorted(link_ends, ends, "right"), prepend=0))
+        self.number |= zip(units, range(len(self.number), len(self.number) + len(units)))
+        self.sizes, self.links = np.concatenate(sizes), np.concatenate(links)
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(np.concatenate(counts))])
+
+    def aligned(self, texts_: list[str | None]) -> list[tuple | None]:
+        """(tokens of A, of B, groups, groups spelled, codes of links, their counts) of whole texts; None: no tokens."""
+        out: list[tuple | None] = [None] * len(texts_)
+        units = {i: u for i, t in enumerate(texts_) if t and (u := self.units(" " + t)) is not None}
+        if len(self.number) > self.most:
+            self.forget()
+        if new := [u for u in dict.fromkeys(chain.from_iterable(units.values())) if u not in self.number]:
+            self.learn(new)
+        if units:
+            lengths = np.array(list(map(len, units.values())))
+            at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(units.values())), np.int64, lengths.sum())
+            begins = np.cumsum(lengths) - lengths
+            sizes, least = (f.reduceat(self.sizes[at], begins, axis=0) for f in (np.add, np.minimum))
+            n = self.begins[at + 1] - self.begins[at]
+            links = self.links[np.repeat(self.begins[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            owner = np.repeat(np.repeat(np.arange(len(lengths)), lengths), n)
+            keys, counts = np.unique(owner << 32 | links, return_counts=True)
+            codes, counts = (keys & (1 << 32) - 1).astype(np.int32), counts.astype(np.int32)
+            to = np.searchsorted(keys >> 32, np.arange(len(lengths) + 1)).tolist()
+            for k, (i, begin, length) in enumerate(zip(units, begins.tolist(), lengths.tolist())):
+                if least[k, 2] >= 0:
+                    groups = ";".join(map(self.groups.__getitem__, at[begin : begin + length].tolist()))
+                    own = slice(to[k], to[k + 1])
+                    out[i] = (*sizes[k].tolist(), groups, codes[own], counts[own])
+        for i, t in enumerate(texts_):
+            if t and out[i] is None and (tokens := self.tokens(" " + t)):
+                groups, n_groups, links = Fragment.of(tokens).groups()
+                out[i] = len(tokens.a), len(tokens.b), n_groups, ";".join(groups), *_counted(links)
+        return out
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -227,8 +286,8 @@ def _counted(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes.astype(np.int32), counts.astype(np.int32)
 
 
-def _sums(n_a: int, n_b: int, n_groups: int, groups: str, links: np.ndarray) -> tuple:
-    return n_a, n_b, n_groups, len(links), hashlib.sha256(groups.encode()).hexdigest(), *_counted(links)
+def _sums(n_a: int, n_b: int, n_groups: int, groups: str, codes: np.ndarray, counts: np.ndarray) -> tuple:
+    return n_a, n_b, n_groups, int(counts.sum()), hashlib.sha256(groups.encode()).hexdigest(), codes, counts
 
 
 _NOTHING = (0, 0, 0, 0, "", _NO_LINKS, _NO_LINKS)
@@ -256,14 +315,16 @@ def _unpacked(x: dict) -> Fragment:
     return Fragment(head, groups, x["n_closed"], [np.repeat(x["codes"], x["counts"]).astype(np.int64)], tail)
 
 
-def short_texts(rows: DataFrame, key: str, models: tuple[str, str]) -> DataFrame:
-    """(key, sums) of texts that one task aligns as a whole."""
+def short_texts(rows: DataFrame, key: str, models: tuple[str, str], some: int = 2_000_000) -> DataFrame:
+    """(key, sums) of texts that one task aligns as a whole; about ``some`` characters at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(*models)
         for batch in batches:
-            found = [(t and both.aligned(" " + t)) or None for t in batch.column(1).to_pylist()]
-            out = [_sums(*f) if f else _NOTHING for f in found]
+            held, out = batch.column(1).to_pylist(), []
+            while len(out) < len(held):
+                upto = np.searchsorted(np.cumsum([len(t or "") for t in held[len(out) :]]), some) + 1
+                out += [_sums(*f) if f else _NOTHING for f in both.aligned(held[len(out) : len(out) + upto])]
             names = [key, *(x.split()[0] for x in _SUMS.split(", "))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *_columns(out, _SUM_TYPES)], names=names)
 
@@ -338,7 +399,7 @@ def finished(found: DataFrame) -> DataFrame:
             for x in batch.to_pylist():
                 if x["good"]:
                     groups, n, links = _unpacked(x).groups()
-                    out.append(_sums(x["n_a"], x["n_b"], n, ";".join(groups), links))
+                    out.append(_sums(x["n_a"], x["n_b"], n, ";".join(groups), *_counted(links)))
                 else:
                     out.append(_NOTHING)
             names = ["row", *(x.split()[0] for x in _SUMS.split(", "))]

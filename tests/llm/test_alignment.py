@@ -109,4 +109,5 @@ def test_fragments_compose_in_any_order(a, b, borders, rnd):
         i = rnd.randrange(len(parts) - 1)
         parts[i : i + 2] = [composed([Fragment(), parts[i], parts[i + 1]])]
     groups, n, links = parts[0].groups()
-    assert (groups, n, links.tolist()) == (whole[0], whole[1], whole[2].tolist()) and n == len(groups)
+    assert (";".join(groups), n, links.tolist()) == (";".join(whole[0]), whole[1], whole[2].tolist())
+    assert n == ";".join(groups).count(";") + 1
