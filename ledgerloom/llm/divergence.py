@@ -28,8 +28,8 @@ def terms(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_SPACED).split()
 
 
-def term_counts(docs: DataFrame, most: int = 400_000) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents of each term in each group.
+def term_counts(docs: DataFrame, most: int = 250_000) -> DataFrame:
+    """(lang, source, term, n, docs): occurrences and documents of each term in each group, in parts.
 
     A task adds up what it reads and hands its sums on when it holds ``most`` of them, and at its end, so a frequent
     term or source sends a few rows a task.
@@ -57,8 +57,18 @@ def term_counts(docs: DataFrame, most: int = 400_000) -> DataFrame:
                 yield from sums()
         yield from sums()
 
-    found = docs.mapInArrow(run, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return docs.mapInArrow(run, "lang string, source string, term string, n long, docs long")
+
+
+def kept_cells(counts: DataFrame, least_docs: int) -> DataFrame:
+    """(lang, source, term, n, of_lang, first): counts of the terms that a language keeps; one row of a term is first.
+
+    One shuffle, by language and term: the sums of each group and the totals of the language need no other.
+    """
+    cells = counts.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    term = Window.partitionBy("lang", "term")
+    cells = cells.withColumns({"of_lang": F.sum("n").over(term), "docs": F.sum("docs").over(term), "nth": F.row_number().over(term.orderBy("source"))})
+    return cells.where(F.col("docs") >= least_docs).select("lang", "source", "term", "n", "of_lang", (F.col("nth") == 1).alias("first"))
 
 
 # ---- the quadtree ---------------------------------------------------------------------------------------
@@ -161,10 +171,8 @@ def audit(
     ready(docs.sparkSession)
     columns = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "text"))]
     read = docs.select(*columns)
-    counts = cut(term_counts(read))
-    kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("of_lang"), F.sum("docs").alias("docs"))
-    kept = cut(kept.where(F.col("docs") >= least_docs).select("lang", "term", "of_lang"))
-    cells = cut(counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"]))
+    cells = cut(kept_cells(term_counts(read), least_docs))
+    kept = cells.where("first").select("lang", "term", "of_lang")
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("of_lang").alias("lang_n"))
     groups = read.select("lang", "source").distinct()
     groups = groups.join(cells.groupBy("lang", "source").agg(F.sum("n").alias("own_n")), ["lang", "source"], "left")
