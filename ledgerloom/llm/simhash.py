@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import components, cut, texts
@@ -39,16 +39,20 @@ def fingerprint(text: str, width: int = 3) -> int:
     return value
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """(key, fp): the fingerprint as a signed long. Empty and null texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, with_hash: bool = False) -> DataFrame:
+    """(key, fp[, _text_hash]): the fingerprint as a signed long. Empty and null texts have fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[key, "fp"])
+            columns = [batch.column(0), pa.array(values.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "fp", "_text_hash"][: len(columns)])
 
     kind = docs.schema[key].dataType.simpleString()
-    return texts(docs, key, text).mapInArrow(run, f"{key} {kind}, fp long")
+    rows = texts(docs, key, text)
+    if with_hash:
+        return rows.withColumn("_text_hash", F.xxhash64(text)).mapInArrow(run, f"{key} {kind}, fp long, _text_hash long")
+    return rows.mapInArrow(run, f"{key} {kind}, fp long")
 
 
 class BKTree:
@@ -199,7 +203,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     Rows with one fingerprint are one node; empty and null texts share fingerprint 0. Repeated rows stay repeated.
     Rows with a null key are kept, in a component by the other rows' keys; alone, their component is null.
     """
-    prints = cut(fingerprints(docs, key, text))
+    return _classes(cut(fingerprints(docs, key, text)), key, radius).select(key, "fp", "component_id")
+
+
+def _classes(prints: DataFrame, key: str, radius: int) -> DataFrame:
     nodes = prints.groupBy("fp").agg(F.min(key).alias("rep"))
     nodes = cut(nodes)
     reps_a = nodes.select(F.col("fp").alias("a"), F.col("rep").alias("rep_a"))
@@ -211,152 +218,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
         "fp", F.coalesce("component", "rep").alias("component_id")
     )
     # One row a fingerprint on the right; adaptive execution splits a fingerprint with very many rows on the left.
-    return prints.join(classes, "fp", "left").select(key, "fp", "component_id")
+    return prints.join(classes, "fp", "left")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 3) -> DataFrame:
     """One document of each component, that with the smallest key; the columns are those of ``docs``.
 
-    What goes is joined away, not what stays: that list is the shorter one, and where adaptive execution finds it
-    small the texts are not shuffled. Of rows that repeat a key one stays. Rows with a null key stay: nothing names
-    them.
-    """
-    return keep_first(docs, cut(near_duplicates(docs, key, text, radius)), key)
-
-
-def keep_first(docs: DataFrame, classes: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is that of their component in ``classes``, once each."""
-    gone = classes.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    again = classes.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
-    left = docs.join(gone, key, "left_anti")
-    repeated = left.join(again, key, "left_semi").dropDuplicates([key])
-    return left.join(again, key, "left_anti").unionByName(repeated).select(docs.columns)
-
-
-# ---- near copies by similarity --------------------------------------------------------------------------
-
-#: Shingles of five words; near copies share 4 of 5 in the union of their shingles (Jaccard 0.8).
-WORDS, SHARED, OF = 5, 4, 5
-#: Shard keys a document: minima of BANDS x ROWS hash functions. A pair at 0.8 has none in common with 0.02 %.
-BANDS, ROWS = 12, 3
-_MIX = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
-
-
-def shingles(text: str, width: int = WORDS) -> np.ndarray:
-    """The distinct XXH64 of a text's word shingles, sorted; none without a word."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    runs = (b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else ()
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(r, SEED) for r in runs), np.uint64))
-
-
-def digest(own: np.ndarray) -> str:
-    return xxhash.xxh3_128_hexdigest(own.tobytes())
-
-
-def bands(own: np.ndarray) -> list[int]:
-    """BANDS keys, each of the minima of ROWS hash functions over the shingles."""
-    if not len(own):
-        return []
-    low = np.array([((own ^ b) * a).min() for a, b in zip(*_MIX)], np.uint64).reshape(BANDS, ROWS)
-    return [_signed(xxhash.xxh64_intdigest(row.tobytes(), i)) for i, row in enumerate(low)]
-
-
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    if OF * min(len(a), len(b)) < SHARED * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return OF * both >= SHARED * (len(a) + len(b) - both)
-
-
-def similar_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the similar pairs.
-
-    Similar sets share one of their rarest shingles, if so many of each are taken that the rest alone is not enough
-    for similarity: only such sets are compared, and none with one that it is already linked to.
-    """
-    if len(sets) < 2:
-        return
-    every, n = np.unique(np.concatenate(sets), return_counts=True)
-    root, index = list(range(len(sets))), {}
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i, own in enumerate(sets):
-        rarest = own[np.lexsort((own, n[np.searchsorted(every, own)]))]
-        first = rarest[: len(own) + (-SHARED * len(own)) // OF + 1].tolist()
-        for j in set().union(*(index.get(h, ()) for h in first)):
-            if find(j) != find(i) and similar(own, sets[j]):
-                root[find(i)] = find(j)
-                yield i, j
-        for h in first:
-            index.setdefault(h, []).append(i)
-
-
-def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, component_id): every row with the smallest key it reaches over texts with a Jaccard similarity of 0.8.
-
-    Equal sets of shingles are one node. Each band of minima is a shard; candidates are checked by their whole sets,
-    which travel only if a shard is shared.
+    Rows are named by their key and a hash of their text. Of rows of one component that share the smallest key one
+    stays, that with the smallest hash; rows that repeat a key in another component stay there. Rows with a null key
+    stay: nothing names them. What goes is joined away, not what stays: that list is the shorter one, and where
+    adaptive execution finds it small the texts are not shuffled.
     """
-    kind = docs.schema[key].dataType.simpleString()
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            every = [shingles(t) for t in batch.column(1).to_pylist()]
-            columns = [batch.column(0), pa.array([digest(s) for s in every], pa.string())]
-            columns.append(pa.array([bands(s) for s in every], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "node", "bands"])
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            every = [shingles(t) for t in batch.column(1).to_pylist()]
-            columns = [pa.array([digest(s) for s in every], pa.string()), pa.array([s.tobytes() for s in every], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "own"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, names, sets = None, [], []
-        found: list[tuple[str, str]] = []
-
-        def batch_of() -> pa.RecordBatch:
-            out = [pa.array([f[i] for f in found], pa.string()) for i in range(2)]
-            found.clear()
-            return pa.RecordBatch.from_arrays(out, names=["a", "b"])
-
-        for batch in batches:
-            for shard, value, node, own in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (shard, value) != at:
-                    found.extend((names[i], names[j]) for i, j in similar_links(sets))
-                    at, names, sets = (shard, value), [], []
-                names.append(node)
-                sets.append(np.frombuffer(own, np.uint64))
-            if len(found) > 50_000:
-                yield batch_of()
-        found.extend((names[i], names[j]) for i, j in similar_links(sets))
-        yield batch_of()
-
-    rows = texts(docs, key, text)
-    prints = cut(rows.mapInArrow(sketch, f"{key} {kind}, node string, bands array<long>"))
-    nodes = prints.groupBy("node").agg(F.min(key).alias("rep"), F.first("bands").alias("bands"))
-    spread = nodes.select("node", "rep", F.posexplode("bands").alias("shard", "value"))
-    busy = spread.groupBy("shard", "value").count().where("count > 1").select("shard", "value")
-    shared = cut(spread.join(busy, ["shard", "value"], "left_semi"))
-    reps = shared.where("rep IS NOT NULL").select(F.col("rep").alias(key)).distinct()
-    wanted = rows.join(reps, key, "left_semi").unionByName(rows.where(F.col(key).isNull()))
-    sets = wanted.mapInArrow(whole, "node string, own binary")
-    sets = sets.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    meet = shared.join(sets, "node").select("shard", "value", "node", "own")
-    meet = meet.repartition("shard", "value").sortWithinPartitions("shard", "value", "node")
-    found = components(meet.mapInArrow(compare, "a string, b string").distinct(), "a", "b")
-    found = nodes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = cut(found.groupBy("component").agg(F.min("rep").alias("component_id")))
-    found = found.join(least, "component").select("node", "component_id")
-    return prints.select(key, "node").join(found, "node").select(key, "component_id")
-
-
-def keep_one_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """As ``keep_one``, of each component of texts with a similarity of 0.8."""
-    return keep_first(docs, cut(similar_classes(docs, key, text)), key)
+    name = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    named = docs.withColumn("_text_hash", name)
+    prints = fingerprints(docs, key, text, with_hash=True)
+    rows = cut(_classes(cut(prints), key, radius).where(F.col(key).isNotNull()))
+    at = [F.col(key), F.col("component_id")]
+    order = Window.partitionBy(*at).orderBy("_text_hash")
+    chosen = rows.where(F.col(key) == F.col("component_id")).select(key, "component_id", "_text_hash").distinct()
+    later = chosen.withColumn("nth", F.row_number().over(order)).where("nth > 1").select(key, "_text_hash")
+    gone = rows.where(F.col(key) != F.col("component_id")).select(key, "_text_hash").distinct().unionByName(later)
+    again = rows.groupBy(key, "_text_hash").count().where("count > 1").select(key, "_text_hash")
+    left = named.join(gone, [key, "_text_hash"], "left_anti")
+    repeated = left.join(again, [key, "_text_hash"], "left_semi").dropDuplicates([key, "_text_hash"])
+    return left.join(again, [key, "_text_hash"], "left_anti").unionByName(repeated).select(docs.columns)

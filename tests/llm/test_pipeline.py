@@ -74,16 +74,11 @@ def test_stages_are_the_dealt_ones():
     assert decontaminate.WIDTH == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
-def test_near_copies_by_similarity(spark):
-    """Similarity of 0.8 or more goes although the three-word fingerprints are over 3 bits apart; below it stays."""
-    words = [f"w{i}" for i in range(400)]
-    at = lambda *spots: " ".join("x" if i in spots else w for i, w in enumerate(words))
-    near, far = at(50, 100, 140, 200, 240, 280), at(30, 70, 110, 150, 190, 230, 270, 310, 350, 390)
-    chain = " ".join("y" if i in (20, 80, 160, 220, 300, 340) else w for i, w in enumerate(near.split()))
-    pairs = [(1, at()), (2, near), (3, far), (4, chain), (5, at().upper()), (6, "a b"), (7, "A  b"), (8, "a c"), (None, at()), (9, ""), (10, None)]
-    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in pairs[:4]}
-    same = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-    assert same(1, 2) >= 0.8 and same(2, 4) >= 0.8 and same(1, 4) < 0.8 and max(same(3, i) for i in (1, 2, 4)) < 0.8
-    assert (plain_fingerprint(at()) ^ plain_fingerprint(near)).bit_count() > 3
+def test_rows_that_repeat_a_key_are_told_apart(spark):
+    """Documents are decided on by key and text: another text under a key that goes is not lost."""
+    a, b, c = ("the one about " + x * 40 for x in ("rivers and their banks ", "a trip to town ", "what the cook said "))
+    pairs = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, b), (4, ""), (4, None), (None, a), (None, a)]
     left = corpus_pipeline.near_dedup(spark, docs_of(spark, pairs).select("doc_id", "text", "lang", "source", "n_chars"), "")
-    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([None, 1, 3, 6, 8, 9], key=str)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) in (
+        sorted([(1, a), (2, b), (3, c), (4, x), (None, a), (None, a)], key=str) for x in ("", None)
+    )

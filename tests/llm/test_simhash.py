@@ -85,21 +85,3 @@ def test_edge_rows(spark):
 def test_repeated_key_stays_once(spark):
     kept = simhash.keep_one(docs_of(spark, [(1, "a b c d"), (1, "a b c d"), (4, "p q r s t")]))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
-
-
-def test_similar_classes_equal_brute_force(spark):
-    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet' ORDER BY doc_id").fetchall()
-    sets = {}
-    for i, t in rows:
-        w = [x.lower() for x in (t or "").encode().split()]
-        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-    want = {i: i for i in sets}
-    for a in sets:
-        for b in sets:
-            both = len(sets[a] & sets[b])
-            if b < a and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both) and want[a] != want[b]:
-                low, high = sorted((want[a], want[b]))
-                want = {i: low if c == high else c for i, c in want.items()}
-    got = simhash.similar_classes(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
-    assert {r.doc_id: r.component_id for r in got} == want and len(got) == len(rows)
-    assert want[145] != 145 and want[177] != 177  # over 3 bits from all others by three-word fingerprints
