@@ -20,6 +20,7 @@ from ledgerloom.operators.ranking import dedup_latest
 from ledgerloom.sources.contracts import TableSpec
 
 PART = "part_key"
+BUCKET = "index_bucket"
 
 
 def ensure_schema(spark: SparkSession, schema: str, warehouse: str) -> None:
@@ -183,6 +184,7 @@ def merge_into_table(
     spec: TableSpec,
     location: str,
     tie_break: Sequence[str] = (),
+    index_buckets: int | None = None,
 ) -> str:
     """Merge an increment into a partitioned parquet table; returns what happened to the schema.
 
@@ -192,15 +194,22 @@ def merge_into_table(
     the next call finds the finished staging folder and goes on with the swap; if it dies earlier, the table is as it
     was. Repeating a merge changes nothing, so a retry is always safe.
 
-    The target's keys are read once an increment to find the touched partitions, so a stream should bring batches of
-    a size that is worth that scan (``maxFilesPerTrigger``, or a longer trigger).
+    The touched partitions are found by reading the target's keys once an increment, or with ``index_buckets`` by an
+    index from key to partition (``KeyIndex``) kept in that many buckets beside the table: then only the buckets of the
+    increment's keys are read and written, and the work follows the increment. A merge without it drops the index.
     """
     stage = f"{location}__stage"
     _finish_swap(spark, table, location, stage)
+    index = KeyIndex(spark, location, spec.key, index_buckets) if index_buckets else None
+    if index is None:
+        remove_path(spark, f"{location}__index")
     incoming = dedup_latest(incoming, [spec.key], spec.loaded_at, tie_break)
     if not spark.catalog.tableExists(table):
         if not path_exists(spark, f"{location}/_SUCCESS"):
+            remove_path(spark, f"{location}__index")
             write_raw(incoming, spec, location, table)
+            if index:
+                index.build(spark.table(table))
             return "created"
         # Written by an earlier session. Older partitions may lack later columns, so footers are merged.
         fs, folder = _fs(spark, location)
@@ -224,7 +233,12 @@ def merge_into_table(
         return outcome
 
     target = spark.table(table)
-    holding = target.select(spec.key, PART).join(increment.select(spec.key), spec.key, "left_semi")
+    known = target.select(spec.key, PART)
+    if index:
+        if not index.complete():
+            index.build(target)
+        known = index.of(increment)
+    holding = known.join(increment.select(spec.key), spec.key, "left_semi")
     # One value per month or day of the table's life, so this list is short whatever the row count.
     touched = [r[0] for r in holding.select(PART).union(increment.select(PART)).distinct().collect()]
     affected = target.where(F.col(PART).isin(touched)).drop(PART)
@@ -238,11 +252,53 @@ def merge_into_table(
     write_clustered(with_partition(merged, spec), f"{stage}/merged", [PART], spec.cluster_by)
     left = {r[0] for r in spark.read.parquet(f"{stage}/merged").select(PART).distinct().collect()}
     emptied = [(p,) for p in touched if p not in left]
+    if index:
+        index.stage(increment, spark.read.parquet(f"{stage}/merged"), f"{stage}/index")
     spark.createDataFrame(emptied, f"{PART} INT").coalesce(1).write.parquet(f"{stage}/ready")
     _finish_swap(spark, table, location, stage)
     return outcome
 
 
+class KeyIndex:
+    """Which partition of a stored table holds each key: rows (key, partition) in buckets by a hash of the key.
+
+    It lives beside the table. A merge rewrites the buckets of its own keys, in its staging folder, and they are moved
+    in with the table's partitions by the same swap, so that a lost driver leaves both old or both new. An index that
+    is missing, half built or of another number of buckets is built anew from the table.
+    """
+
+    def __init__(self, spark: SparkSession, location: str, key: str, buckets: int) -> None:
+        self.spark, self.key, self.buckets = spark, key, buckets
+        self.root, self.path = f"{location}__index", f"{location}__index/of={buckets}"
+
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
+
+    def complete(self) -> bool:
+        return path_exists(self.spark, f"{self.path}/_SUCCESS")
+
+    def build(self, table: DataFrame) -> None:
+        remove_path(self.spark, self.root)
+        self._write(self._bucketed(table.select(self.key, PART)), self.path)
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
+
+    def of(self, increment: DataFrame) -> DataFrame:
+        """The index rows in the buckets of the increment's keys; other buckets are not opened."""
+        # One number a bucket, so this list is short whatever the increment's size.
+        wanted = [r[0] for r in self._bucketed(increment.select(self.key)).select(BUCKET).distinct().collect()]
+        schema = f"`{self.key}` {increment.schema[self.key].dataType.simpleString()}, {PART} INT, {BUCKET} INT"
+        return self.spark.read.schema(schema).parquet(self.path).where(F.col(BUCKET).isin(wanted))
+
+    def stage(self, increment: DataFrame, merged: DataFrame, path: str) -> None:
+        """Write the increment's buckets as they are after the merge."""
+        keys = increment.select(self.key)
+        kept = self.of(increment).join(keys, self.key, "left_anti")
+        moved = self._bucketed(merged.select(self.key, PART).join(keys, self.key, "left_semi"))
+        self._write(kept.unionByName(moved), path)
+
+
 def merge_into_row_level_table(
     spark: SparkSession, incoming: DataFrame, table: str, spec: TableSpec, tie_break: Sequence[str] = ()
 ) -> None:
@@ -321,6 +377,12 @@ def _finish_swap(spark: SparkSession, table: str, location: str, stage: str) ->
         for (emptied,) in spark.read.parquet(f"{stage}/ready").collect():
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PART}={emptied})")
             _move(spark, f"{location}/{PART}={emptied}", f"{aside}/{PART}={emptied}")
+        if path_exists(spark, f"{stage}/index"):
+            (index,) = [c.getPath() for c in fs.listStatus(_fs(spark, f"{location}__index")[1])]
+            for bucket in [c.getPath().getName() for c in fs.listStatus(_fs(spark, f"{stage}/index")[1])]:
+                if bucket.startswith(f"{BUCKET}="):
+                    _move(spark, f"{index}/{bucket}", f"{aside}/{index.getName()}/{bucket}")
+                    _move(spark, f"{stage}/index/{bucket}", f"{index}/{bucket}")
         _register_partitions(spark, table)
     if path_exists(spark, stage):
         remove_path(spark, stage)

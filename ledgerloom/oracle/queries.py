@@ -73,14 +73,18 @@ def _newest(source: str, key: str, order: str = "updated_at DESC NULLS LAST, seq
 
 # ---- the change feed and its increments ---------------------------------------------------------------
 
-EXTRA["feed_first"] = "SELECT * FROM raw_change_feed WHERE updated_at < TIMESTAMP '2024-01-15'"
+EXTRA["feed_span"] = """
+SELECT date_trunc('day', min(updated_at)) + to_days(CAST((date_diff('day', min(updated_at), max(updated_at)) + 1) // 2 AS INTEGER)) AS split
+FROM raw_change_feed"""
+_SPLIT = "(SELECT split FROM feed_span)"
+EXTRA["feed_first"] = f"SELECT * FROM raw_change_feed WHERE updated_at < {_SPLIT}"
 EXTRA["feed_target"] = _newest("feed_first", "customer_id")
-EXTRA["feed_bent"] = """
+EXTRA["feed_bent"] = f"""
 SELECT CASE WHEN customer_id % 10 = 3 THEN customer_id + 1000000000 ELSE customer_id END AS customer_id,
   customer_segment, balance,
   CASE WHEN customer_id % 10 = 7 THEN NULL WHEN customer_id % 4 = 1 THEN updated_at - INTERVAL 20 DAY
        ELSE updated_at END AS updated_at, seq
-FROM raw_change_feed WHERE updated_at >= TIMESTAMP '2024-01-15'"""
+FROM raw_change_feed WHERE updated_at >= {_SPLIT}"""
 EXTRA["feed_increment"] = _newest("feed_bent", "customer_id")
 EXTRA["feed_merged"] = """
 SELECT CASE WHEN i.updated_at > t.updated_at THEN i ELSE t END AS r, i.customer_id IS NOT NULL AS offered
@@ -143,20 +147,18 @@ SQL["ingest_dedup_latest_composite"] = _newest(
     "l_orderkey, l_linenumber",
     "l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC",
 )
-SQL["ingest_schema_evolution"] = """
+SQL["ingest_schema_evolution"] = f"""
 SELECT customer_id, customer_segment, updated_at, NULL::DOUBLE AS balance, NULL::BIGINT AS seq,
   'added:balance,seq' AS outcome FROM feed_target
 UNION ALL
 SELECT customer_id, customer_segment, updated_at, balance, seq, 'added:balance,seq' FROM raw_change_feed
-WHERE updated_at >= TIMESTAMP '2024-01-15'"""
-EXTRA["feed_week"] = """
-SELECT * FROM raw_change_feed
-WHERE updated_at >= TIMESTAMP '2024-01-15' AND updated_at < TIMESTAMP '2024-01-22'"""
-EXTRA["feed_week_newest"] = _newest("feed_week", "customer_id")
+WHERE updated_at >= {_SPLIT}"""
+EXTRA["feed_rest"] = f"SELECT * FROM raw_change_feed WHERE updated_at >= {_SPLIT}"
+EXTRA["feed_rest_newest"] = _newest("feed_rest", "customer_id")
 SQL["ingest_table"] = """
 SELECT customer_id, coalesce(w.customer_segment, t.customer_segment) AS customer_segment, w.balance,
   coalesce(w.updated_at, t.updated_at) AS updated_at, coalesce(w.seq, t.seq) AS seq
-FROM feed_target t FULL JOIN feed_week_newest w USING (customer_id)"""
+FROM feed_target t FULL JOIN feed_rest_newest w USING (customer_id)"""
 SQL["ingest_tables"] = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS rows, count(DISTINCT {SPECS[n].key}) AS keys,"
     f" min(updated_at) AS first_loaded, max(updated_at) AS last_loaded FROM "
@@ -471,6 +473,28 @@ SQL["as_of_lookup"] = """
 SELECT customer_id, customer_segment, valid_from, valid_to FROM feed_history
 WHERE TIMESTAMP '2024-01-15 12:00:00' >= valid_from
   AND TIMESTAMP '2024-01-15 12:00:00' < ifnull(valid_to, TIMESTAMP '9999-12-31')"""
+EXTRA["score_versions"] = _newest("raw_credit_scores", "customer_id, created_at", "score_id DESC")
+SQL["as_of_join"] = """
+SELECT t.transaction_id, t.customer_id, t.transaction_at, s.score_id, s.score_value, s.created_at AS scored_at
+FROM raw_transactions t ASOF LEFT JOIN score_versions s ON t.customer_id = s.customer_id AND t.transaction_at >= s.created_at"""
+EXTRA["feed_asked"] = "SELECT seq, customer_id, updated_at - INTERVAL 1 DAY AS asked_at FROM raw_change_feed"
+SQL["as_of_join_history"] = """
+SELECT f.seq, f.customer_id, f.asked_at, h.customer_segment, h.balance, h.valid_from
+FROM feed_asked f ASOF LEFT JOIN feed_history h ON f.customer_id = h.customer_id AND f.asked_at >= h.valid_from"""
+SQL["rolling_horizons"] = (
+    "SELECT customer_id, "
+    + ", ".join(
+        f"count(*) FILTER (WHERE {(recent := f'transaction_date >= {TODAY} - {h}')}) AS n_{h}d,"
+        f" CAST(coalesce(sum(amount_idr) FILTER (WHERE {recent}), 0) AS DOUBLE) AS volume_{h}d"
+        for h in (30, 90, 365)
+    )
+    + f" FROM raw_transactions WHERE trim(lower(transaction_status)) = 'completed' AND transaction_date <= {TODAY}"
+    f" AND transaction_date >= {TODAY} - 365 GROUP BY customer_id"
+)
+SQL["distinct_from_daily_state"] = """
+SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month, channel, count(DISTINCT customer_id) AS distinct_customer_id,
+  count(DISTINCT account_id) AS distinct_account_id
+FROM raw_transactions GROUP BY ALL"""
 SQL["stream_upsert"] = _newest("raw_change_feed", "customer_id")
 
 # ---- quality ------------------------------------------------------------------------------------------

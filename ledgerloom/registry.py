@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ledgerloom import functions as fn
 from ledgerloom.catalog import Catalog
 from ledgerloom.config import resolve_execution_date, target_schema
-from ledgerloom.operators import history, ingest, merge, quality, sampling, sinks
+from ledgerloom.operators import asof, history, ingest, merge, quality, rolling, sampling, sinks
 from ledgerloom.operators.ranking import dedup_latest, newest_first, top1_per_group
 from ledgerloom.oracle import queries as sql
 from ledgerloom.oracle.relations import as_text, whole
@@ -185,7 +185,7 @@ def _(spark, cat, sf):
 def _(spark, cat, sf):
     feed = cat.source("change_feed")
     old = feeds.stored_target(feed).select("customer_id", "customer_segment", "updated_at")
-    new = ingest.window_filter(feed, "updated_at", ingest.Window(feeds.FEED_SPLIT, feeds.FEED_END))
+    new = ingest.window_filter(feed, "updated_at", feeds.halves(feed)[1])
     wide, outcome = ingest.evolve_schema(old, new)
     return wide.unionByName(new).withColumn("outcome", F.lit(outcome))
 
@@ -212,8 +212,7 @@ _merge("ingest_merge_delete", delete_missing=True)
 def _(spark, cat, sf):
     feed = cat.source("change_feed")
     narrow = feeds.stored_target(feed).drop("balance")
-    window = ingest.Window(feeds.FEED_SPLIT, datetime(2024, 1, 22))
-    return pipeline.ingest_relation(narrow, feed, feeds.FEED_SPEC, window, ["seq"])
+    return pipeline.ingest_relation(narrow, feed, feeds.FEED_SPEC, feeds.halves(feed)[1], ["seq"])
 
 
 @query("ingest_tables")
@@ -830,7 +829,7 @@ _register_functions()
 
 def _feed_state(feed: DataFrame, until: datetime) -> DataFrame:
     """The customers as a snapshot run at that time finds them; segment sme counts as soft-deleted."""
-    seen = ingest.window_filter(feed, "updated_at", ingest.Window(feeds.FEED_START, until))
+    seen = feed.where(F.col("updated_at") < F.lit(until))
     latest = dedup_latest(seen, ["customer_id"], "updated_at", ["seq"])
     return latest.where("customer_segment <> 'sme'").select("customer_id", "customer_segment", "balance", "updated_at")
 
@@ -866,6 +865,54 @@ def _(spark, cat, sf):
     return held.select("customer_id", "customer_segment", "valid_from", "valid_to")
 
 
+@query("as_of_join")
+def _(spark, cat, sf):
+    """Every transaction with the credit score that its customer had when it was made."""
+    scores = dedup_latest(cat.source("credit_scores"), ["customer_id", "created_at"], "created_at", ["score_id"])
+    scores = scores.select("customer_id", "score_id", "score_value", F.col("created_at").alias("scored_at"))
+    made = cat.source("transactions").select("transaction_id", "customer_id", "transaction_at")
+    return asof.as_of_join(made, scores, "customer_id", "transaction_at", "scored_at", ["score_id", "score_value", "scored_at"])
+
+
+@query("as_of_join_history")
+def _(spark, cat, sf):
+    """Every change of a customer with the version that held one day before it."""
+    feed = cat.source("change_feed")
+    versions = history.history_from_changes(feed, "customer_id", "seq")
+    facts = feed.select("seq", "customer_id", F.expr("updated_at - interval '1' day").alias("asked_at"))
+    columns = ["customer_segment", "balance", "valid_from"]
+    return asof.as_of_join(facts, versions, "customer_id", "asked_at", "valid_from", columns, "valid_to")
+
+
+# ---- trailing days ------------------------------------------------------------------------------------
+
+
+@query("rolling_horizons")
+def _(spark, cat, sf):
+    """Stored daily partials, folded 45 days ago, corrected for late rows and moved on to today."""
+    done = typed_source(cat, "transactions").where("trim(lower(transaction_status)) = 'completed'")
+    is_late, root, key = F.col("transaction_id") % 7 == 3, scratch(spark, "rolling"), "customer_id"
+    for name, rows in (("on_time", done.where(~is_late)), ("late", done.where(is_late))):
+        parts = rolling.daily_partials(rows, key, "transaction_date", "amount_idr")
+        parts.repartition("day").write.partitionBy("day").parquet(f"{root}/arrived={name}")
+    stored = spark.read.parquet(root)
+    was = AS_OF - timedelta(days=45)
+    state = rolling.fold(stored.where("arrived = 'on_time'"), key, was, marts.HORIZONS)
+    state = rolling.absorb(state, stored.where("arrived = 'late'"), key, was, marts.HORIZONS)
+    return rolling.slide(state, stored, key, was, AS_OF, marts.HORIZONS)
+
+
+@query("distinct_from_daily_state")
+def _(spark, cat, sf):
+    """Monthly distinct customers and accounts a channel, from daily states alone."""
+    ids = ["customer_id", "account_id"]
+    rows = typed_source(cat, "transactions").select("transaction_date", "channel", *ids)
+    root = scratch(spark, "distinct")
+    rolling.distinct_state(rows, ["transaction_date", "channel"], ids).write.parquet(root)
+    daily = spark.read.parquet(root).withColumn("month", F.date_trunc("MONTH", "transaction_date").cast("date"))
+    return rolling.merged_distincts(daily, ["month", "channel"], ids)
+
+
 # ---- quality ------------------------------------------------------------------------------------------
 
 for _kind in (quality.NOT_NULL, quality.UNIQUE, quality.ACCEPTED, quality.RELATIONSHIP, quality.RANGE):

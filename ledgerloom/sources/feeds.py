@@ -19,11 +19,6 @@ FEED_SPEC = TableSpec(
     ("customer_segment",),
     granularity="DAY",
 )
-FEED_START = datetime(2024, 1, 1)
-FEED_SPLIT = datetime(2024, 1, 15)
-FEED_END = datetime(2024, 2, 1)
-WHOLE_FEED = Window(FEED_START, FEED_END)
-
 # The second half of the feed, bent so that a merge meets every case: new keys (ids moved up), rows older
 # than the target's (moved back in time), and rows without a time.
 BENT = {
@@ -45,11 +40,21 @@ def span_of(rows: DataFrame, loaded_at: str) -> Window | None:
     return Window(days[0], days[1] + timedelta(days=1))
 
 
+def halves(feed: DataFrame) -> tuple[Window, Window]:
+    """The span of the feed's load times, cut at the start of its middle day. Without rows both are empty."""
+    whole = span_of(feed, "updated_at")
+    if whole is None:
+        never = datetime(1970, 1, 1)
+        return Window(never, never), Window(never, never)
+    split = whole.start + timedelta(days=(whole.end - whole.start).days // 2)
+    return Window(whole.start, split), Window(split, whole.end)
+
+
 def stored_target(feed: DataFrame) -> DataFrame:
-    first_half = window_filter(feed, "updated_at", Window(FEED_START, FEED_SPLIT))
+    first_half = window_filter(feed, "updated_at", halves(feed)[0])
     return dedup_latest(first_half, ["customer_id"], "updated_at", ["seq"])
 
 
 def bent_increment(feed: DataFrame) -> DataFrame:
-    second_half = window_filter(feed, "updated_at", Window(FEED_SPLIT, FEED_END))
+    second_half = window_filter(feed, "updated_at", halves(feed)[1])
     return second_half.selectExpr(*[f"{e} AS {c}" for c, e in BENT.items()])

@@ -19,17 +19,20 @@ def stream_upsert(
     location: str,
     checkpoint: str,
     tie_break: Sequence[str] = (),
+    index_buckets: int | None = 64,
     **trigger,
 ) -> StreamingQuery:
     """Start the stream. By default it drains what is there and stops.
 
     The merge is newer-wins and idempotent, so the table ends up the same however the changes are cut
-    into batches, and a batch replayed after a failure does no harm.
+    into batches, and a batch replayed after a failure does no harm. An index from key to partition, in
+    ``index_buckets`` buckets, lets a micro-batch open only the buckets of its keys and the partitions that hold
+    them or receive a row. Take as many buckets as give each a file's worth of keys; None goes without index.
     """
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
         rows = project_cast(batch, spec, evolve=True)
-        merge_into_table(batch.sparkSession, rows, table, spec, location, tie_break)
+        merge_into_table(batch.sparkSession, rows, table, spec, location, tie_break, index_buckets)
 
     return (
         changes.writeStream.foreachBatch(merge_batch)

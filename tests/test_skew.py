@@ -26,6 +26,10 @@ CHECKED = (
     "scd2_snapshot",
     "scd2_from_changes",
     "as_of_lookup",
+    "as_of_join",
+    "as_of_join_history",
+    "rolling_horizons",
+    "distinct_from_daily_state",
     "stream_upsert",
     "dq_relationships",
     "dq_unique",
