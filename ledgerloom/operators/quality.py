@@ -5,12 +5,12 @@ All row-level checks of a relation share one aggregate, and all uniqueness check
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,12 @@ def violations(cat: Catalog, check: Check) -> DataFrame:
     return df.where(c.isNotNull()).join(known, check.column, "left_anti")
 
 
+def broken_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(row..., check_name): each violating row once for every row-level check that it breaks, in one scan."""
+    names = F.array_compact(F.array(*[F.when(c.broken(), F.lit(c.name)) for c in checks]))
+    return df.withColumn("check_name", F.explode(names))
+
+
 def _labels(check: Check) -> list[Column]:
     return [F.lit(v) for v in (check.stage, check.model, check.column, check.kind)]
 
@@ -97,6 +103,24 @@ def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counted.select(F.inline(entries))
 
 
+class Watch:
+    """Row-level checks of a relation, counted while it is written: they cost no scan of their own."""
+
+    def __init__(self, checks: Iterable[Check]) -> None:
+        self.checks = [c for c in checks if c.row_level]
+        self._seen = Observation()
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        if not self.checks:
+            return df
+        return df.observe(self._seen, *[F.count_if(c.broken()).alias(f"_c{i}") for i, c in enumerate(self.checks)])
+
+    def counts(self) -> dict[Check, int]:
+        """Failures of each check, once the write is over."""
+        seen = self._seen.get if self.checks else {}
+        return {c: seen[f"_c{i}"] or 0 for i, c in enumerate(self.checks)}
+
+
 def _unique(cat: Catalog, checks: Sequence[Check]) -> DataFrame:
     """Duplicated values of any number of columns and relations, in one shuffle.
 
@@ -145,10 +169,13 @@ def _relationship(cat: Catalog, check: Check) -> DataFrame:
     return lost.select(F.inline(F.array(_entry(check, F.col("_n")))))
 
 
-def failure_counts(spark: SparkSession, cat: Catalog, checks: Iterable[Check]) -> DataFrame:
-    """One row per check: stage, model, column_name, test, failures."""
-    checks = sorted(checks, key=lambda c: (c.stage, c.model))
-    parts = [_zeros(spark, checks)]
+def failure_counts(
+    spark: SparkSession, cat: Catalog, checks: Iterable[Check], known: Mapping[Check, int] | None = None
+) -> DataFrame:
+    """One row per check: stage, model, column_name, test, failures. ``known``: failures counted before."""
+    checks, known = sorted(checks, key=lambda c: (c.stage, c.model)), known or {}
+    parts = [_zeros(spark, checks, known)]
+    checks = [c for c in checks if c not in known]
     for (_, model), group in groupby(checks, key=lambda c: (c.stage, c.model)):
         group = list(group)
         by_row = [c for c in group if c.row_level]
@@ -162,9 +189,9 @@ def failure_counts(spark: SparkSession, cat: Catalog, checks: Iterable[Check]) -
     return counted.groupBy("stage", "model", "column_name", "test").agg(F.sum("failures").alias("failures"))
 
 
-def _zeros(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
-    """Every check with zero failures, so that a check over an empty relation still reports."""
-    rows = ", ".join(f"('{c.stage}', '{c.model}', '{c.column}', '{c.kind}', 0L)" for c in checks)
+def _zeros(spark: SparkSession, checks: Sequence[Check], known: Mapping[Check, int]) -> DataFrame:
+    """Every check with what is known of it or zero failures, so that one over an empty relation still reports."""
+    rows = ", ".join(f"('{c.stage}', '{c.model}', '{c.column}', '{c.kind}', {known.get(c, 0)}L)" for c in checks)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS z(stage, model, column_name, test, failures)")
 
 
@@ -223,11 +250,13 @@ def singular_counts(cat: Catalog, stages: Sequence[str] = ("staging", "marts"))
     ]
 
 
-def quality_report(spark: SparkSession, cat: Catalog, checks: Iterable[Check]) -> DataFrame:
+def quality_report(
+    spark: SparkSession, cat: Catalog, checks: Iterable[Check], known: Mapping[Check, int] | None = None
+) -> DataFrame:
     """Every declared check and every assertion of their stages, with failures and status."""
     checks = list(checks)
     stages = sorted({c.stage for c in checks})
-    parts = [failure_counts(spark, cat, checks), *singular_counts(cat, stages)]
+    parts = [failure_counts(spark, cat, checks, known), *singular_counts(cat, stages)]
     return with_status(reduce(DataFrame.unionByName, parts))
 
 

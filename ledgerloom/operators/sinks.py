@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -112,16 +112,19 @@ def write_clustered(
     *,
     daily_snapshot: bool = False,
     table: str | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write parquet, partitioned and clustered, replacing what is there.
 
     A ``daily_snapshot`` holds one partition value and replaces only that partition, so that the earlier
-    days stay.
+    days stay. ``watch`` sees the rows in the stage that writes them, after the last shuffle: what it observes is
+    counted once for each written task, also when an executor is lost and earlier stages run again.
     """
     spark = df.sparkSession
     mode = "dynamic" if daily_snapshot else "static"
+    laid_out = cluster_rows(df, partition_by, cluster_by, daily_snapshot)
     writer = (
-        cluster_rows(df, partition_by, cluster_by, daily_snapshot)
+        (watch(laid_out) if watch else laid_out)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*partition_by)
@@ -136,7 +139,12 @@ def write_clustered(
 
 
 def rebuild_table(
-    df: DataFrame, name: str, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    path: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replace a whole table without a moment in which it is missing or half written.
 
@@ -148,7 +156,7 @@ def rebuild_table(
     build = f"{name.rpartition('.')[2]}__b{uuid.uuid4().hex[:12]}"
     schema = name.rpartition(".")[0]
     full = f"{schema}.{build}" if schema else build
-    write_clustered(df, f"{path}/{build}", partition_by, cluster_by, table=full)
+    write_clustered(df, f"{path}/{build}", partition_by, cluster_by, table=full, watch=watch)
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('build' = '{build}') AS SELECT * FROM {full}")
     prefix = build.rpartition("__b")[0] + "__b"
     fs, folder = _fs(spark, path)

@@ -580,6 +580,9 @@ SQL["dq_report"] = (
     f"SELECT *, {_STATUS} AS status FROM ({check_counts(ALL_CHECKS)} UNION ALL {_STAGING_ASSERTIONS}"
     f" UNION ALL {_MART_ASSERTION}) AS counted"
 )
+SQL["store_failures_counts"] = (
+    f"SELECT * FROM ({check_counts([c for c in ALL_CHECKS if c.stage == 'staging'])}) AS counted WHERE failures > 0"
+)
 SQL["dq_gate"] = (
     "SELECT stage, count(*) AS tests, count(*) FILTER (WHERE failures > 0) AS failing,"
     " stage = 'staging' AND max(failures) > 0 AS blocked"

@@ -14,7 +14,7 @@ from ledgerloom.config import target_schema
 from ledgerloom.operators.history import TRACKED_CUSTOMER_COLUMNS
 from ledgerloom.operators.ingest import Window, freshness, project_cast, required_only, window_filter
 from ledgerloom.operators.merge import merge_upsert
-from ledgerloom.operators.quality import SINGULAR, Check, gate, quality_report, violations
+from ledgerloom.operators.quality import SINGULAR, Check, Watch, broken_rows, gate, quality_report, violations
 from ledgerloom.operators.ranking import dedup_latest
 from ledgerloom.operators.sinks import (
     ensure_schema,
@@ -154,7 +154,7 @@ def register_views(cat: Catalog, names: Sequence[str] = tuple(STAGING)) -> list[
     return list(names)
 
 
-def build_mart(spark: SparkSession, cat: Catalog, name: str, warehouse: str) -> str:
+def build_mart(spark: SparkSession, cat: Catalog, name: str, warehouse: str, watch: Watch | None = None) -> str:
     """Write one mart to its table and let later models and tests read that table."""
     layout = LAYOUTS[name]
     schema = target_schema(cat.ctx.env, "marts", layout.schema)
@@ -162,10 +162,10 @@ def build_mart(spark: SparkSession, cat: Catalog, name: str, warehouse: str) ->
     table, path = f"{schema}.{name}", f"{warehouse}/{schema}/{name}"
     if layout.daily_snapshot:
         write_clustered(
-            cat.ref(name), path, layout.partition_by, layout.cluster_by, daily_snapshot=True, table=table
+            cat.ref(name), path, layout.partition_by, layout.cluster_by, daily_snapshot=True, table=table, watch=watch
         )
     else:
-        rebuild_table(cat.ref(name), table, path, layout.partition_by, layout.cluster_by)
+        rebuild_table(cat.ref(name), table, path, layout.partition_by, layout.cluster_by, watch)
     stored = spark.table(table)
     if layout.daily_snapshot:
         stored = stored.where(stored.snapshot_date == cat.ctx.as_of)
@@ -173,15 +173,21 @@ def build_mart(spark: SparkSession, cat: Catalog, name: str, warehouse: str) ->
     return table
 
 
-def build_marts(spark: SparkSession, cat: Catalog, warehouse: str) -> list[str]:
-    """Write all marts: the customer, risk and finance domains in parallel, each domain in model order."""
+def build_marts(
+    spark: SparkSession, cat: Catalog, warehouse: str, watches: Mapping[str, Watch] | None = None
+) -> list[str]:
+    """Write all marts: the customer, risk and finance domains in parallel, each domain in model order.
+
+    ``watches`` count the row-level checks of their mart while it is written.
+    """
+    watches = watches or {}
     domains: dict[str, list[str]] = {}
     for name in MARTS:
         domains.setdefault(LAYOUTS[name].schema, []).append(name)
 
     @inheritable_thread_target(spark)
     def build(names: list[str]) -> list[str]:
-        return [build_mart(spark, cat, n, warehouse) for n in names]
+        return [build_mart(spark, cat, n, warehouse, watches.get(n)) for n in names]
 
     with ThreadPoolExecutor(max_workers=len(domains)) as pool:
         return [table for tables in pool.map(build, domains.values()) for table in tables]
@@ -190,13 +196,24 @@ def build_marts(spark: SparkSession, cat: Catalog, warehouse: str) -> list[str]:
 def store_failures(
     spark: SparkSession, cat: Catalog, checks: Sequence[Check], report: DataFrame, root: str
 ) -> dict[str, str]:
-    """Keep the violating rows of each failing check; returns the path of each."""
+    """Keep the violating rows of each failing check; returns the path of each.
+
+    One scan of a model for all its row-level checks: a row is written once for every check it breaks, by check.
+    """
     failing = {(r.model, r.column_name, r.test) for r in report.where("status = 'fail'").collect()}  # one row per check
+    wanted = [c for c in checks if (c.model, c.column, c.kind) in failing]
     paths = {}
-    for check in checks:
-        if (check.model, check.column, check.kind) in failing:
+    by_row: dict[str, list[Check]] = {}
+    for check in wanted:
+        if check.row_level:
+            by_row.setdefault(check.model, []).append(check)
+            paths[check.name] = f"{root}/rows/{check.model}/check_name={check.name}"
+        else:
             paths[check.name] = f"{root}/{check.name}"
             violations(cat, check).write.mode("overwrite").parquet(paths[check.name])
+    for model, own in by_row.items():
+        rows = broken_rows(cat.relation(model), own)
+        rows.write.mode("overwrite").partitionBy("check_name").parquet(f"{root}/rows/{model}")
     for name, (_, model, find) in SINGULAR.items():
         if (model, "*", name) in failing:
             paths[name] = f"{root}/{name}"
@@ -204,6 +221,18 @@ def store_failures(
     return paths
 
 
+def materialize(spark: SparkSession, cat: Catalog, names: Sequence[str], checks: Sequence[Check], root: str) -> dict[Check, int]:
+    """Write models to tables that everything later reads, and count their row-level checks on the way."""
+    known: dict[Check, int] = {}
+    for name in names:
+        watch = Watch(c for c in checks if c.model == name)
+        layout = LAYOUTS.get(name)
+        write_clustered(cat.ref(name), f"{root}/{name}", (), layout.cluster_by if layout else (), watch=watch)
+        known |= watch.counts()
+        cat.replace(name, spark.read.parquet(f"{root}/{name}"))
+    return known
+
+
 def freshness_report(cat: Catalog, names: Sequence[str]) -> DataFrame:
     parts = [freshness(typed_source(cat, n), SPECS[n], cat.ctx.now) for n in names]
     out = parts[0]
@@ -246,11 +275,15 @@ def run_pipeline(
     views = register_views(cat)
     result: dict[str, object] = {"freshness": fresh, "views": views, "failures": {}}
     for stage in ("staging", "marts"):
+        known: dict[Check, int] = {}
         if stage == "marts":
-            result["tables"] = build_marts(spark, cat, warehouse)
+            watches = {m: Watch(c for c in checks if c.model == m) for m in MARTS}
+            result["tables"] = build_marts(spark, cat, warehouse, watches)
+            for watch in watches.values():
+                known |= watch.counts()
         mine = [c for c in checks if c.stage == stage]
         path = f"{warehouse}/test_results/{stage}"
-        quality_report(spark, cat, mine).write.mode("overwrite").parquet(path)
+        quality_report(spark, cat, mine, known).write.mode("overwrite").parquet(path)
         report = spark.read.parquet(path)
         result[stage] = report
         result["failures"] |= store_failures(spark, cat, mine, report, f"{warehouse}/test_failures")

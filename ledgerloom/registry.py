@@ -430,6 +430,26 @@ def _(spark, cat, sf):
     return kept.select("account_id", "customer_id", "account_status", "balance")
 
 
+@query("store_failures_counts")
+def _(spark, cat, sf):
+    """What is kept of every failing check of the staging models, counted from the files."""
+    report = quality.with_status(quality.failure_counts(spark, cat, checks.STAGING_CHECKS))
+    root = scratch(spark, "failures")
+    report.write.parquet(f"{root}/report")
+    report = spark.read.parquet(f"{root}/report")
+    paths = pipeline.store_failures(spark, cat, checks.STAGING_CHECKS, report, root)
+    labels = ["stage", "model", "column", "kind"]
+    kept = [
+        spark.read.parquet(paths[c.name]).agg(
+            *[F.lit(getattr(c, a)).alias(b) for a, b in zip(labels, ("stage", "model", "column_name", "test"))],
+            F.count("*").alias("failures"),
+        )
+        for c in checks.STAGING_CHECKS
+        if c.name in paths
+    ]
+    return union_all(kept)
+
+
 @query("source_month_partition")
 def _(spark, cat, sf):
     return (
@@ -956,12 +976,10 @@ def _(spark, cat, sf):
 
 
 def _full_report(spark: SparkSession, cat: Catalog) -> DataFrame:
-    """Marts are tested as the tables they were written to, as in the transformation run."""
-    root = scratch(spark, "report")
-    for name, layout in pipeline.LAYOUTS.items():
-        sinks.write_clustered(cat.ref(name), f"{root}/{name}", (), layout.cluster_by)
-        cat.replace(name, spark.read.parquet(f"{root}/{name}"))
-    return quality.quality_report(spark, cat, checks.ALL_CHECKS)
+    """Staging models and marts are tested as the tables they were written to, and while they are written."""
+    names = [*STAGING, *pipeline.LAYOUTS]
+    known = pipeline.materialize(spark, cat, names, checks.ALL_CHECKS, scratch(spark, "report"))
+    return quality.quality_report(spark, cat, checks.ALL_CHECKS, known)
 
 
 @query("dq_report")

@@ -9,7 +9,7 @@ from ledgerloom.plans import marts
 from ledgerloom.registry import QUERIES, bed
 
 WRITES = {"ingest_tables", "sink_mart_table", "sink_cluster", "sink_raw_partitioned", "sink_cleanup", "store_failures"}
-WRITES |= {"stream_upsert", "dq_report", "ingest_backfill_stored", "rolling_horizons", "distinct_from_daily_state"}
+WRITES |= {"stream_upsert", "dq_report", "ingest_backfill_stored", "rolling_horizons", "distinct_from_daily_state", "store_failures_counts"}
 
 
 def plan(df):

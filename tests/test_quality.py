@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 from collections import Counter
-from datetime import datetime
+from datetime import date, datetime
 
 from helpers import mini, rows
+from ledgerloom.catalog import Catalog
 from ledgerloom.config import Thresholds
 from ledgerloom.operators import quality
 from ledgerloom.operators.quality import ACCEPTED, NOT_NULL, RANGE, RELATIONSHIP, UNIQUE, Check
@@ -108,3 +109,30 @@ def test_rates(spark):
         ("city", "null_rate"): (30.0, True),
         ("merchant_id", "duplicate_rate"): (50.0, True),
     }
+
+
+def test_checks_counted_while_writing_need_no_scan(spark, tmp_path):
+    """Counts of a watched write equal those of a scan, and a report that knows them does not read the relation."""
+    from ledgerloom.config import RunContext
+    from ledgerloom.operators import sinks
+    from ledgerloom.operators.quality import ACCEPTED, NOT_NULL, RANGE, UNIQUE, Check, Watch, failure_counts
+
+    rows = [(i, None if i % 7 == 0 else i, "abc"[i % 3], float(i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, v long, c string, x double").repartition(7)
+    mine = [Check("marts", "m", "v", NOT_NULL), Check("marts", "m", "c", ACCEPTED, ("a", "b")), Check("marts", "m", "x", RANGE, low="10", high="400")]
+    mine.append(Check("marts", "m", "id", UNIQUE))
+    watch = Watch(mine)
+    sinks.write_clustered(df, str(tmp_path / "m"), ["c"], ["id"], watch=watch)
+    cat = Catalog({"m": lambda: spark.read.parquet(str(tmp_path / "m"))}, RunContext(as_of=date(2024, 1, 1)), {})
+    scanned = {(r.column_name, r.test): r.failures for r in failure_counts(spark, cat, mine).collect()}
+    assert {(c.column, c.kind): n for c, n in watch.counts().items()} == {k: n for k, n in scanned.items() if k[1] != UNIQUE}
+    assert scanned["v", NOT_NULL] == 72 and scanned["x", RANGE] == 109
+    by_row = [c for c in mine if c.row_level]
+    known = failure_counts(spark, cat, by_row, watch.counts())
+    assert "Scan parquet" not in known._jdf.queryExecution().executedPlan().toString()
+    full = failure_counts(spark, cat, mine, watch.counts())
+    assert full._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, failure_counts(spark, cat, mine).collect()))
+    empty = Watch(mine)
+    sinks.write_clustered(df.limit(0), str(tmp_path / "none"), (), ["id"], watch=empty)
+    assert set(empty.counts().values()) == {0}
