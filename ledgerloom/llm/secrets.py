@@ -17,8 +17,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
-#: What may be a key: a whole run of its letters, with a digit in it.
-RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}"
+#: What may be a key: a whole run of its letters.
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 #: Encodings from narrow to wide: pattern, alphabet, and the share of an ordinary identifier's letters that are in it.
@@ -190,11 +190,11 @@ def battery(value: Column) -> Column:
 
 
 def found_in(text: Column) -> Column:
-    """A struct of one text's ``base`` spans and its tested ``runs`` that no such span touches."""
+    """A struct of one text's ``base`` spans and its tested ``runs`` that lie in no such span as a whole."""
 
     def tested(s: Column) -> Column:
         apart = F.filter(
-            s["runs"], lambda r: ~F.exists(s["base"], lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
+            s["runs"], lambda r: ~F.exists(s["base"], lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"]))
         )
 
         def with_test(r: Column) -> Column:

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import string
 
 import duckdb
 from pyspark.sql import functions as F
@@ -105,3 +106,19 @@ def test_redaction(spark):
     want = ["a [secret] b", "é [secret]é", "[secret] end", "", "", "plain", "[secret]"]
     assert got == sorted([*enumerate(want), (0, want[0])])
     assert out.where("doc_id = 3").first().text is None
+
+
+def test_letter_only_keys_and_keys_around_a_known_form_are_found(spark):
+    """Random letters without a digit, and a long key that holds an access key: over half pass the battery."""
+    rng = random.Random(1)
+    letters = ["".join(rng.choices(string.ascii_letters, k=40)) for _ in range(60)]
+    around = ["".join(rng.choices(string.ascii_letters + string.digits, k=20)) + "AKIA" + "".join(rng.choices(string.ascii_uppercase + string.digits, k=16)) for _ in range(60)]
+    plain = ["an ordinary sentence about internationalisation and well-known-long-names of /usr/share/documentation"] * 60
+    texts = [f"the key {k} ends here" for k in letters + around] + plain
+    found = {r.doc_id: r for r in secrets.secrets(docs_of(spark, list(enumerate(texts)))).collect()}
+    held = lambda i: [(s["start"], s["end"]) for s in found[i].added]
+    whole = [held(i) == [(8, 8 + len(k))] for i, k in enumerate(letters + around)]
+    assert sum(whole[:60]) > 40 and sum(whole[60:]) > 30
+    assert all(len(found[60 + i].base) == 1 for i in range(60)) and not any(held(i) for i in range(120, 180))
+    kept = secrets.redact(docs_of(spark, list(enumerate(texts)))).collect()
+    assert all("AKIA" not in r.text for r in kept)
