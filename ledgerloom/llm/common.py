@@ -57,6 +57,23 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(text))
 
 
+def named(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, text): what an operator reads, with each row named by its key and a hash of its text."""
+    rows = texts(docs, key, text)
+    return rows.select(F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(text).alias("text_hash")).alias("row"), text)
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose name is no ``row`` of ``gone``; another text under the same key stays.
+
+    Rows without a key stay. What goes is joined away: that list is the shorter one, and where adaptive execution finds
+    it small the texts are not shuffled.
+    """
+    bad = gone.select(F.col("row.key").alias("_gone_key"), F.col("row.text_hash").alias("_gone_hash")).distinct()
+    own = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    return docs.join(bad, (F.col(f"`{key}`") == F.col("_gone_key")) & (own == F.col("_gone_hash")), "left_anti")
+
+
 def bucket(key: str | Column, n: int) -> Column:
     """CRC-32 of the key's decimal text, modulo n; null keys fall into bucket 0 of the text ''."""
     col = F.col(key) if isinstance(key, str) else key

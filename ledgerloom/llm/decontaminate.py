@@ -7,7 +7,7 @@ what the slots hold must map consistently from the item to the document.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, texts
+from ledgerloom.llm.common import cut, named, texts, without
 
 WIDTH = 5
 SLOT_BITS = 22
@@ -121,12 +121,20 @@ def window_hashes(codes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.
 
 
 def windows(
-    rows: DataFrame, key: str, text: str = "text", width: int = WIDTH, bits: bytes | None = None
+    rows: DataFrame,
+    key: str,
+    text: str = "text",
+    width: int = WIDTH,
+    bits: bytes | None = None,
+    short: Sequence[int] = (),
 ) -> DataFrame:
-    """(key, pos, hash, slots, n): the windows of each whole text and the words in their slots.
+    """(key, width, pos, hash, slots, exact): the windows of each whole text and the words in their slots.
 
-    n is the text's number of windows. With ``bits``, only windows whose hash has its bit set: all that can join.
-    Texts of fewer words than a window have none.
+    Without ``bits``, those that stand for a text: its windows of ``width`` words that hold enough plain words, all of
+    them if none does, and the text as one window if it is shorter; the first window a second time with its first word
+    as a name where that is capitalised, as it is read within a sentence. exact: the text has fewer than three plain words,
+    so its template alone says nothing. With ``bits``, all windows of ``width`` and of the ``short`` widths whose hash
+    has its bit set: all that can join. Texts without words have none.
     """
     kind = rows.schema[key].dataType.simpleString()
 
@@ -135,34 +143,48 @@ def windows(
         wanted = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
         mask = np.uint64(2**SLOT_BITS - 1)
         for batch in batches:
-            owner, pos, hashes, slots, sizes = [], [], [], [], []
+            owner, wide, pos, hashes, slots, exact = [], [], [], [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
                 words = tokens_of(t)
-                if len(words) < width:
+                sizes = {w for w in (width, *short) if w <= len(words)} if bits is not None else {min(width, len(words))} - {0}
+                if not sizes:
                     continue
                 codes, kinds = template(words, book)
-                found, enough = window_hashes(codes, kinds, width)
-                keep = enough if wanted is None else enough & (wanted[(found & mask).astype(np.int64)] == 1)
-                n = int(enough.sum())
-                for p in np.flatnonzero(keep).tolist():
+                few = int((kinds == TEXT).sum()) < 3
+
+                def add(p: int, size: int, value: np.uint64, kinds: np.ndarray) -> None:
                     owner.append(i)
+                    wide.append(size)
                     pos.append(p)
-                    hashes.append(found[p])
-                    sizes.append(n)
-                    held = [j for j in range(p, p + width) if kinds[j] != TEXT]
-                    slots.append([_EDGE.sub("", words[j]).casefold() for j in held])
+                    hashes.append(value)
+                    slots.append([_EDGE.sub("", words[j]).casefold() for j in range(p, p + size) if kinds[j] != TEXT])
+                    exact.append(few)
+
+                for size in sizes:
+                    found, enough = window_hashes(codes, kinds, size)
+                    if wanted is None:
+                        keep = enough if enough.any() else ~enough
+                        if keep[0] and book.look(words[:1])[1][0] & 3 == NAME:
+                            shown, named_kinds = codes[:size].copy(), kinds[:size].copy()
+                            shown[0], named_kinds[0] = _PLACEHOLDER[NAME], NAME
+                            add(0, size, window_hashes(shown, named_kinds, size)[0][0], named_kinds)
+                    else:
+                        keep = wanted[(found & mask).astype(np.int64)] == 1
+                    for p in np.flatnonzero(keep).tolist():
+                        add(p, size, found[p], kinds)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(owner, pa.int64())),
+                    pa.array(wide, pa.int32()),
                     pa.array(pos, pa.int32()),
                     pa.array(np.array(hashes, np.uint64).view(np.int64)),
                     pa.array(slots, pa.list_(pa.string())),
-                    pa.array(sizes, pa.int32()),
+                    pa.array(exact, pa.bool_()),
                 ],
-                names=[key, "pos", "hash", "slots", "n"],
+                names=[key, "width", "pos", "hash", "slots", "exact"],
             )
 
-    schema = f"{key} {kind}, pos int, hash long, slots array<string>, n int"
+    schema = f"{key} {kind}, width int, pos int, hash long, slots array<string>, exact boolean"
     return texts(rows, key, text).mapInArrow(run, schema)
 
 
@@ -191,17 +213,20 @@ def contaminated(
     An item is found if at least ``least`` of its distinct windows are in the document and every value in an item's
     slot goes with one value in the document: a changed number changes wherever it stands. This must hold along one
     alignment, or over all of them together for passages with insertions. Rows that repeat a key are looked at as one
-    text; null and empty texts, and items shorter than a window, match nothing.
+    text; null and empty texts match nothing. An item shorter than a window is one window of its own length. An item
+    with fewer than three plain words is found only with its own words in its slots, since its template fits too much.
 
     A filter of fixed size goes to the scan of the documents and drops windows that no item has; what passes is
     hash-joined. An item's window counts once, at its first place, so a repetitive item does not multiply matches.
     """
     own = windows(items.where(F.col(item).isNotNull()), item, text, width)
-    own = own.groupBy(item, "hash").agg(F.min_by(F.struct("pos", "slots"), "pos").alias("at"))
-    own = cut(own.select(F.col(item).alias("item"), "hash", "at.pos", "at.slots"))
-    sizes = own.groupBy("item").agg(F.count("*").alias("windows"))
+    first = F.min_by(F.struct("pos", "slots", "width"), "pos").alias("at")
+    own = own.groupBy(item, "hash").agg(first, F.bool_and("exact").alias("exact"))
+    own = cut(own.select(F.col(item).alias("item"), "hash", "exact", "at.*"))
+    sizes = own.groupBy("item").agg(F.count_distinct("pos").alias("windows"), F.bool_and("exact").alias("exact"))
+    short = [r[0] for r in own.select("width").distinct().collect()]  # at most ``width`` numbers
     own = own.select("item", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    hits = windows(docs, key, text, width, bitmap(own)).drop("n")
+    hits = windows(docs, key, text, width, bitmap(own), short).drop("width", "exact")
     pair = F.arrays_zip("item_slots", "slots")
     joined = hits.join(own, "hash").select(
         F.col(key).alias("doc"), "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), pair.alias("pairs")
@@ -215,26 +240,35 @@ def contaminated(
     def consistent(pairs: str) -> Column:
         return F.size(F.array_distinct(F.col(f"{pairs}.item_slots"))) == F.size(pairs)
 
+    def same(pairs: str) -> Column:
+        return F.forall(pairs, lambda p: p["item_slots"] == p["slots"])
+
+    def whole(pairs: str) -> Column:
+        return consistent(pairs) & (F.size("found") >= least * F.col("windows")) & (~F.col("exact") | same(pairs))
+
     lines = summed(joined, ["doc", "item", "shift"]).join(sizes, "item")
-    lines = lines.withColumn("good", consistent("pairs") & (F.size("found") >= least * F.col("windows")))
+    lines = lines.withColumn("good", whole("pairs"))
     spread = lines.groupBy("doc", "item").agg(
         F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
         F.first("windows").alias("windows"),
+        F.first("exact").alias("exact"),
         F.max("good").alias("good"),
     )
-    spread = spread.where(F.col("good") | (consistent("pairs") & (F.size("found") >= least * F.col("windows"))))
+    spread = spread.where(F.col("good") | whole("pairs"))
     return spread.select(
         F.col("doc").alias(key),
         F.col("item").alias(item),
         F.size("found").alias("matched"),
         F.col("windows").cast("int").alias("windows"),
         (F.size("found") / F.col("windows")).alias("coverage"),
-        F.forall("pairs", lambda p: p["item_slots"] == p["slots"]).alias("verbatim"),
+        same("pairs").alias("verbatim"),
     )
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows in which no item is found; rows without a key stay. The columns are those of ``docs``."""
-    bad = contaminated(docs, items, key, text=text).select(key).distinct()
-    return docs.join(bad, key, "left_anti").select(docs.columns)
+    """The rows in which no item is found, each judged by its own text; rows without a key stay.
+
+    The columns are those of ``docs``.
+    """
+    return without(docs, contaminated(named(docs, key, text), items, "row", text=text), key, text)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bucket, cut, hashed_sample, texts
+from ledgerloom.llm.common import bucket, cut, hashed_sample, named, texts, without
 
 #: Classes of bytes whose shares describe the look of a text.
 BYTE_CLASSES = {
@@ -211,9 +211,10 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", fit_rows: int = 20_000) -> DataFrame:
-    """The rows that are predicted to be good; those without a key stay. The columns are those of ``docs``.
+    """The rows that are predicted to be good, each judged by its own text; those without a key stay.
 
-    The rejected keys, the shorter list, are joined away, so that texts are shuffled only where that list is long.
+    The columns are those of ``docs``; the model is that of ``classify``.
     """
-    bad = classify(docs, labels, key, text, fit_rows).where("predicted = 0").select(key).distinct()
-    return docs.join(bad, key, "left_anti").select(docs.columns)
+    found = cut(features(named(docs, key, text), "row", text))
+    model = fit(*samples(found.select(F.col("row.key").alias(key), "features"), labels, key, fit_rows))
+    return without(docs, score(found, model, "row").where("score < 0.5"), key, text)

@@ -17,27 +17,44 @@ def items_of(spark, rows):
 
 
 def plain(docs, items, least=0.8):
-    """All documents against all items, windows as tuples of placeholder words."""
+    """All documents against all items, windows as tuples of placeholder words.
 
-    def cut(text):
+    An item is its windows of five words with three plain ones, else all its windows, and itself if it is shorter.
+    """
+
+    def read(text):
         words = d.tokens_of(text or "")
-        if len(words) < d.WIDTH:
-            return {}
-        codes, kinds = d.template(words, d.Words())
+        if not words:
+            return [], [], []
+        kinds = d.template(words, d.Words())[1].tolist()
         names = [d._EDGE.sub("", w).casefold() for w in words]
-        shown = [n if k == d.TEXT else f"<{k}>" for n, k in zip(names, kinds)]
+        return [n if k == d.TEXT else f"<{k}>" for n, k in zip(names, kinds)], names, kinds
+
+    def cut(shown, names, kinds, width):
         out = {}
-        for p in range(len(words) - d.WIDTH + 1):
-            span = range(p, p + d.WIDTH)
-            if sum(kinds[j] == d.TEXT for j in span) >= 3:
-                out.setdefault(tuple(shown[j] for j in span), []).append((p, [names[j] for j in span if kinds[j]]))
+        for p in range(len(shown) - width + 1):
+            span = range(p, p + width)
+            out.setdefault(tuple(shown[j] for j in span), []).append((p, [names[j] for j in span if kinds[j]]))
         return out
 
+    own = {}
+    for i, text in items:
+        shown, names, kinds = read(text)
+        wins = cut(shown, names, kinds, min(5, len(shown))) if shown else {}
+        telling = {w: at for w, at in wins.items() if sum(not (x[:1] == "<" and x[-1:] == ">") for x in w) >= (len(w) + 1) // 2}
+        kept = {w: at[0] for w, at in (telling or wins).items()}
+        if (text or "").split()[:1] and names[0].isalpha() and (text or "").split()[0][0].isupper() and kinds[0] == d.TEXT:
+            for w, (p, slots) in list(kept.items()):
+                if p == 0 and not (text or "").split()[0][1:].isupper():  # as it is read within a sentence
+                    kept[f"<{d.NAME}>", *w[1:]] = 0, [names[0], *slots]
+        own[i] = kept, kinds.count(d.TEXT) < 3
     found = set()
-    own = {i: {w: at[0] for w, at in cut(t).items()} for i, t in items}
     for key, text in docs:
-        there = cut(text)
-        for i, wins in own.items():
+        parts = read(text)
+        there = {}
+        for width in {len(w) for wins, _ in own.values() for w in wins}:
+            there |= cut(*parts, width)
+        for i, (wins, exact) in own.items():
             lines = {}
             for w, (p, slots) in wins.items():
                 for q, values in there.get(w, []):
@@ -45,8 +62,8 @@ def plain(docs, items, least=0.8):
             groups = [*lines.values(), [x for v in lines.values() for x in v]]
             for g in groups:
                 pairs = {x for _, s in g for x in s}
-                same = len({a for a, _ in pairs}) == len(pairs)
-                if wins and same and len({p for p, _ in g}) >= least * len(wins):
+                same = len({a for a, _ in pairs}) == len(pairs) and not (exact and any(a != b for a, b in pairs))
+                if wins and same and len({p for p, _ in g}) >= least * len({p for p, _ in wins.values()}):
                     found.add((key, i))
     return found
 
@@ -78,6 +95,26 @@ def test_changed_slots_must_be_consistent(spark):
     assert got[1, 9] and not got[2, 9]
 
 
+def test_items_of_numbers_and_short_items_are_found(spark):
+    """Every item that has a word is found in its exact copy; one that is hardly more than slots only there."""
+    sums = "Compute 12 km + 35 km + 48 km"
+    items = [(1, sums), (2, "Is 7 prime"), (3, "12 kg 13 kg 14 kg"), (4, "why"), (5, " "), (6, "Tell me why now")]
+    docs = [
+        (1, FILL + sums + " " + FILL), (2, FILL + "Compute 5 km + 6 km + 7 km"), (3, FILL + "Compute 5 km + 5 km + 7 km"),
+        (4, "is 7 prime"), (5, FILL + "is 8 prime"), (6, FILL + "12 kg 13 kg 14 kg"), (7, FILL + "1 kg 2 kg 3 kg"), (8, "Why?"),
+        (9, "tell me why now"), (10, FILL), (11, "Compute 5 km + 6 miles"), (12, ""), (13, None),
+    ]
+    got = {(r.doc_id, r.item_id) for r in d.contaminated(docs_of(spark, docs), items_of(spark, items)).collect()}
+    assert got == plain(docs, items)
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 2), (6, 3), (8, 4), (9, 4), (9, 6)}
+
+
+def test_another_text_under_the_key_of_a_hit_stays(spark):
+    docs = docs_of(spark, [(1, QUESTION), (1, FILL), (1, QUESTION), (2, FILL), (3, None)])
+    kept = d.keep_clean(docs, items_of(spark, [(1, QUESTION)])).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == [(1, FILL), (2, FILL), (3, None)]
+
+
 def test_glued_units_and_placeholders():
     assert d.tokens_of("run 5km, then (10kg) rest 3x") == ["run", "5", "km,", "then", "10", "kg)", "rest", "3x"]
     kinds = d.template("He saw 5 km and Bob. Then km".split(), d.Words())[1].tolist()

@@ -52,3 +52,17 @@ def test_edge_rows(spark):
     assert len(rows) == 7 and all(0 <= r.score <= 1 for r in rows)
     assert quality.classify(docs.limit(0), labels).count() == 0
     assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+def test_another_text_under_the_key_of_a_rejected_row_stays(spark):
+    """Each row is judged by its own text, and as ``classify`` judges it."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    verdict = {r.doc_id: r.predicted for r in quality.classify(docs, labels).collect()}
+    plain = quality.keep_good(docs, labels).collect()
+    assert sorted(r.doc_id for r in plain) == sorted(i for i, v in verdict.items() if v)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    bad, good = (next(i for i, v in sorted(verdict.items()) if v == w and text[i]) for w in (0, 1))
+    both = docs.unionByName(docs.where(docs.doc_id == good).withColumn("doc_id", quality.F.lit(bad).cast("long")))
+    kept = {(r.doc_id, r.text) for r in quality.keep_good(both, labels).collect()}
+    assert (bad, text[good]) in kept and (bad, text[bad]) not in kept
