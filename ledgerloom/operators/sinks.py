@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import re
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
@@ -38,27 +40,34 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_scratch"
 
 
+#: Seconds after its last renewal for which a lease holds; a live driver renews it four times in that span.
+TERM = 86_400
+_LEASE = re.compile(r"([^.].*)\.lease-(\d+)")
 _SCRATCH: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder below the application's own one, which goes when the driver's process ends.
 
-    A query's rows are read after it has returned, so it cannot remove the folder itself.
+    A query's rows are read after it has returned, so it cannot remove the folder itself. The folder is leased: if the
+    driver is lost, a later application's first call removes it.
     """
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
+        collect_orphans(spark)
         _SCRATCH[app] = f"{scratch_root(spark)}/ledgerloom-{app}"
+        lease = Lease(spark, _SCRATCH[app])
         fs, folder = _fs(spark, _SCRATCH[app])
-        atexit.register(_remove_quietly, fs, folder)
+        atexit.register(_remove_quietly, fs, folder, lease)
     return f"{_SCRATCH[app]}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def _remove_quietly(fs, folder) -> None:
+def _remove_quietly(fs, folder, lease: Lease) -> None:
     try:
         fs.delete(folder, True)
-    except Exception:  # noqa: BLE001  the JVM may be gone already; then the cluster's own cleaning is left
-        pass
+        lease.end()
+    except Exception:  # noqa: BLE001  the JVM may be gone already; then the lease runs out
+        lease.stop()
 
 
 def _fs(spark: SparkSession, path: str):
@@ -77,14 +86,97 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none if it is missing."""
+    fs, p = _fs(spark, path)
+    return [c.getPath().getName() for c in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def subfolders(spark: SparkSession, path: str, label: str) -> list[int]:
+    """The numbers of the folders ``label=number`` in a folder."""
+    found = [n.removeprefix(f"{label}=") for n in children(spark, path) if n.startswith(f"{label}=")]
+    return sorted(int(n) for n in found)
+
+
+def folder_print(spark: SparkSession, path: str) -> str:
+    """Changes when files of a folder are replaced, added or removed: its time, and number and length of its files."""
+    fs, p = _fs(spark, path)
+    held = fs.getContentSummary(p)
+    return f"{fs.getFileStatus(p).getModificationTime()}:{held.getFileCount()}:{held.getLength()}"
+
+
+def touch(spark: SparkSession, path: str) -> int:
+    """Write an empty file; returns its time by the file system's clock, in milliseconds."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+    return fs.getFileStatus(p).getModificationTime()
+
+
+class Lease:
+    """A mark beside a folder that says it is in use: a file whose time a thread of the driver renews.
+
+    It holds for ``term`` seconds after the last renewal. Times are the file system's, not a machine's.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, term: int = TERM) -> None:
+        self.spark, self.file = spark, f"{folder}.lease-{term}"
+        touch(spark, self.file)
+        self._over = threading.Event()
+        self._thread = threading.Thread(target=self._renew, args=(max(term, 1) / 4,), daemon=True)
+        self._thread.start()
+
+    def _renew(self, every: float) -> None:
+        while not self._over.wait(every):
+            try:
+                touch(self.spark, self.file)
+            except Exception:  # noqa: BLE001  a storage fault may pass before the term ends; the next turn tries again
+                continue
+
+    def stop(self) -> None:
+        """Renew no more; the lease runs out."""
+        self._over.set()
+        self._thread.join()
+
+    def end(self) -> None:
+        self.stop()
+        remove_path(self.spark, self.file)
+
+
+def collect_orphans(spark: SparkSession, root: str | None = None) -> list[str]:
+    """Remove the folders below ``root`` whose lease has run out: their driver was lost. Returns their names.
+
+    Folders without a lease are not touched, nor those of drivers that still renew theirs.
+    """
+    root = root or scratch_root(spark)
+    leases = [m for m in map(_LEASE.fullmatch, children(spark, root)) if m]
+    if not leases:
+        return []
+    probe = f"{root}/.clock-{uuid.uuid4().hex}"
+    now = touch(spark, probe)
+    remove_path(spark, probe)
+    gone = []
+    for found in leases:
+        fs, file = _fs(spark, f"{root}/{found[0]}")
+        if fs.exists(file) and now - fs.getFileStatus(file).getModificationTime() > 1000 * int(found[2]):
+            remove_path(spark, f"{root}/{found[1]}")  # before its lease, so that a lost collector is followed by another
+            fs.delete(file, False)
+            gone.append(found[1])
+    return gone
+
+
 @contextmanager
-def staged(spark: SparkSession, root: str | None = None) -> Iterator[str]:
-    """A private staging folder that is removed afterwards, also when the work in it failed."""
+def staged(spark: SparkSession, root: str | None = None, term: int = TERM) -> Iterator[str]:
+    """A private staging folder that is removed afterwards, also when the work in it failed.
+
+    It is leased, so that ``collect_orphans`` removes what a lost driver leaves.
+    """
     path = f"{root or scratch_root(spark)}/staged-{uuid.uuid4().hex}"
+    lease = Lease(spark, path, term)
     try:
         yield path
     finally:
         remove_path(spark, path)
+        lease.end()
 
 
 def cluster_rows(

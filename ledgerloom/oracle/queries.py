@@ -176,6 +176,10 @@ SELECT NULL::BIGINT AS customer_id, customer_segment, balance, updated_at, seq,
 FROM raw_change_feed WHERE seq % 7 = 0"""
 SQL["ingest_backfill_stored"] = _newest("raw_change_feed", "customer_id")
 SQL["ingest_backfill"] = _newest("raw_change_feed", "customer_id")
+SQL["ingest_backfill_resumed"] = _newest("raw_change_feed", "customer_id")
+SQL["dq_unique_incremental"] = """
+SELECT customer_id, count(*) AS n_records FROM raw_change_feed
+WHERE customer_id IS NOT NULL AND updated_at IS NOT NULL GROUP BY customer_id HAVING count(*) > 1"""
 SQL["ingest_freshness"] = " UNION ALL ".join(
     f"SELECT '{SPECS[n].system}' AS source, '{n}' AS table_name, max({SPECS[n].loaded_at}) AS max_loaded_at,"
     f" date_sub('second', max({SPECS[n].loaded_at}), {NOW}) / 3600.0::DOUBLE AS age_hours,"
@@ -210,6 +214,8 @@ SELECT CAST(year(updated_at) * 100 + month(updated_at) AS INT) AS part_key, coun
 FROM raw_transactions GROUP BY 1"""
 SQL["sink_cleanup"] = """
 SELECT account_status, count(*) AS accounts, true AS stage_removed FROM raw_accounts GROUP BY account_status"""
+SQL["sink_orphans"] = """
+SELECT account_status, count(*) AS accounts, true AS orphan_removed FROM raw_accounts GROUP BY account_status"""
 SQL["view_layer"] = """
 SELECT c.customer_segment, t.channel, count(*) AS transactions, CAST(sum(t.amount_idr) AS DOUBLE) AS volume_idr
 FROM stg_transactions t JOIN stg_customers c USING (customer_id) GROUP BY ALL"""

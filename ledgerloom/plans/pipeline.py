@@ -16,9 +16,12 @@ from ledgerloom.operators.ingest import Window, freshness, project_cast, require
 from ledgerloom.operators.merge import merge_upsert
 from ledgerloom.operators.quality import SINGULAR, Check, Watch, broken_rows, gate, quality_report, violations
 from ledgerloom.operators.ranking import dedup_latest
+from ledgerloom.operators.runs import RunLedger
 from ledgerloom.operators.sinks import (
+    collect_orphans,
     ensure_schema,
     merge_into_table,
+    path_exists,
     rebuild_table,
     store_snapshot,
     write_clustered,
@@ -122,10 +125,27 @@ def backfill(
     schema: str,
     warehouse: str,
     tie_break: Sequence[str] = (),
+    resume: bool = False,
 ) -> list[str]:
-    """Stored runs over successive windows, oldest first, one at a time."""
+    """Stored runs over successive windows, oldest first, one at a time; returns what each did.
+
+    Each finished window is marked beside the table. With ``resume``, what earlier calls finished is skipped, also parts
+    of a window, so a killed backfill goes on where it was; without it, all windows are loaded again. Marks of a table
+    that is no longer there do not count.
+    """
     ensure_schema(spark, schema, warehouse)
-    return [ingest_table(spark, spec, source, w, schema, warehouse, tie_break) for w in windows]
+    location = f"{warehouse}/{schema}/{spec.name}"
+    ledger = RunLedger(spark, location)
+    if not path_exists(spark, f"{location}/_SUCCESS"):
+        ledger.clear()
+    outcomes = []
+    for window in windows:
+        said = "skipped"
+        for part in ledger.left(window) if resume else [window]:
+            said = ingest_table(spark, spec, source, part, schema, warehouse, tie_break)
+            ledger.mark(part)
+        outcomes.append(said)
+    return outcomes
 
 
 def backfill_relation(
@@ -269,6 +289,7 @@ def run_pipeline(
     A stale source or, unless the gate is left out, a failing staging test stops the run before the
     marts. Failing mart tests are reported and do not stop the history.
     """
+    collect_orphans(spark)
     fresh = {r.table_name: r.status for r in freshness_report(cat, sources).collect()}  # one row per table
     if "freshness" in gates and "error" in fresh.values():
         raise PipelineBlocked(f"stale sources: {sorted(t for t, s in fresh.items() if s == 'error')}")

@@ -20,6 +20,7 @@ from ledgerloom.catalog import Catalog
 from ledgerloom.config import resolve_execution_date, target_schema
 from ledgerloom.operators import asof, history, ingest, merge, quality, rolling, sampling, sinks
 from ledgerloom.operators.ranking import dedup_latest, newest_first, top1_per_group
+from ledgerloom.operators.uniqueness import KeyCounts
 from ledgerloom.oracle import queries as sql
 from ledgerloom.oracle.relations import as_text, whole
 from ledgerloom.plans import checks, marts, pipeline
@@ -277,6 +278,18 @@ def _(spark, cat, sf):
     return spark.table(f"{schema}.{feeds.FEED_SPEC.name}").drop(sinks.PART)
 
 
+@query("ingest_backfill_resumed")
+def _(spark, cat, sf):
+    """A backfill that ended half way and is called again: what is done is skipped, the rest is loaded."""
+    feed = cat.source("change_feed")
+    whole = feeds.span_of(feed, "updated_at")
+    halves = [w for w in feeds.halves(feed) if w.start < w.end]
+    schema, root = f"fill_{uuid.uuid4().hex[:12]}", scratch(spark, "fill")
+    pipeline.backfill(spark, feeds.FEED_SPEC, feed, halves[:1], schema, root, ["seq"])
+    pipeline.backfill(spark, feeds.FEED_SPEC, feed, [whole] if whole else [], schema, root, ["seq"], resume=True)
+    return spark.table(f"{schema}.{feeds.FEED_SPEC.name}").drop(sinks.PART)
+
+
 @query("ingest_freshness")
 def _(spark, cat, sf):
     return pipeline.freshness_report(cat, sql.CONTRACT_TABLES)
@@ -388,6 +401,20 @@ def _(spark, cat, sf):
     )
 
 
+@query("sink_orphans")
+def _(spark, cat, sf):
+    """Of two staging folders, the one whose driver no longer renews its lease is removed."""
+    root = scratch(spark, "leases")
+    lost, live = sinks.Lease(spark, f"{root}/lost", 0), sinks.Lease(spark, f"{root}/live")
+    lost.stop()
+    for name in ("lost", "live"):
+        cat.source("accounts").write.parquet(f"{root}/{name}")
+    removed = sinks.collect_orphans(spark, root) == ["lost"] and not sinks.path_exists(spark, f"{root}/lost")
+    live.end()
+    kept = spark.read.parquet(f"{root}/live").groupBy("account_status")
+    return kept.agg(F.count("*").alias("accounts"), F.lit(removed).alias("orphan_removed"))
+
+
 @query("view_layer")
 def _(spark, cat, sf):
     pipeline.register_views(cat)
@@ -982,6 +1009,19 @@ def _full_report(spark: SparkSession, cat: Catalog) -> DataFrame:
     return quality.quality_report(spark, cat, checks.ALL_CHECKS, known)
 
 
+@query("dq_unique_incremental")
+def _(spark, cat, sf):
+    """Customers with more than one change in a stored feed, counted by half and half."""
+    feed = sinks.with_partition(cat.source("change_feed"), feeds.FEED_SPEC)
+    root = scratch(spark, "unique")
+    counts = KeyCounts(spark, f"{root}/feed", feeds.FEED_SPEC)
+    for half in feeds.halves(feed):
+        rows = ingest.window_filter(feed, "updated_at", half)
+        rows.write.mode("append").partitionBy(sinks.PART).parquet(f"{root}/feed")
+        counts.refresh()
+    return counts.duplicated()
+
+
 @query("dq_report")
 def _(spark, cat, sf):
     return _full_report(spark, cat)
