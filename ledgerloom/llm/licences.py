@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -101,11 +102,32 @@ OTHERS = (
     "Under the license of the king the town grew.", "Sublicense rights are not granted to any third party.",
 )
 UNKNOWN = "unknown"
-#: A paragraph is looked at if it has one of these stems; each template has one.
-STEMS = (
-    r"(?i)licen[cs]|copyright|permission|redistribut|warrant|public domain|creative commons|\bcc[ -]?(by|0)\b|"
-    r"rights reserved|contributors may"
-)
+#: Short headings and identifiers of the families.
+HEADINGS = {
+    "MIT": ("MIT License", "The MIT License (MIT)", "Released under MIT licence.", "SPDX-License-Identifier: MIT"),
+    "Apache-2.0": ("Apache-2.0", "Apache License 2.0", "Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0"),
+    "GPL": ("GPLv3", "GPL-2.0-or-later", "GNU GPL v2", "GNU General Public License", "Released under GPLv2.", "SPDX-License-Identifier: GPL-3.0-only"),
+    "LGPL": ("LGPLv3", "LGPL-2.1-or-later", "GNU LGPL", "GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-2.1-only"),
+    "AGPL": ("AGPLv3", "AGPL-3.0-or-later", "GNU AGPL", "GNU Affero General Public License", "SPDX-License-Identifier: AGPL-3.0-only"),
+    "BSD": ("BSD License", "BSD-3-Clause", "BSD 2-Clause License", "SPDX-License-Identifier: BSD-3-Clause"),
+    "ISC": ("ISC License", "The ISC License (ISC)", "SPDX-License-Identifier: ISC"),
+    "MPL": ("MPL-2.0", "MPL 2.0", "Mozilla Public License 2.0", "SPDX-License-Identifier: MPL-2.0"),
+    "CC-BY": ("CC-BY-4.0", "CC BY 4.0", "CC BY 3.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    "CC-BY-SA": ("CC-BY-SA-4.0", "CC BY-SA 4.0", "CC BY-SA 3.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    "CC-BY-NC": ("CC-BY-NC-4.0", "CC BY-NC 4.0", "CC BY-NC 3.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "CC0": ("CC0", "CC0-1.0", "CC0 1.0 Universal", "SPDX-License-Identifier: CC0-1.0"),
+    "Unlicense": ("The Unlicense", "Unlicense", "SPDX-License-Identifier: Unlicense"),
+}
+#: Words and word pairs of which a heading of the family has at least one.
+NAMES = {
+    "MIT": ("mit license", "mit licence", "identifier mit"), "Apache-2.0": ("apache 2", "apache license"),
+    "GPL": ("gpl", "gplv", "gnu general"), "LGPL": ("lgpl", "lgplv", "gnu lesser"), "AGPL": ("agpl", "agplv", "gnu affero"),
+    "BSD": ("bsd license", "bsd 2", "bsd 3"), "ISC": ("isc license", "identifier isc"), "MPL": ("mpl", "mozilla public"),
+    "CC-BY": ("cc by",), "CC-BY-SA": ("by sa",), "CC-BY-NC": ("by nc",), "CC0": ("cc 0",), "Unlicense": ("unlicense",),
+}
+#: Words that a heading may have beside its family's own.
+FILLER = ("the", "this", "project", "work", "is", "license", "licence", "licensed", "released", "under", "spdx", "identifier", "version", "v")
+CERTAIN, CLOSE = 0.5, 0.8
 LEADS = ("", "This project is free. ", "Copyright (c) 2020 The Authors. ", "Notice: ")
 TAILS = ("", " All rights reserved.", " Thanks to all contributors.")
 
@@ -128,11 +150,54 @@ def ngrams(paragraph: Column, longest: int = 3) -> Column:
     return let(words(paragraph), runs)
 
 
+def _strings(values: Iterable[str]) -> Column:
+    return F.array(*map(F.lit, values))
+
+
+def _pairs(body: str) -> list[str]:
+    """Word pairs of a template, as ``ngrams`` makes them."""
+    w = re.findall("[a-z]+|[0-9]+", body.lower())
+    return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
+
+
+def _shortest() -> int:
+    """Word pairs of the shortest template: a piece of fewer may be in any text."""
+    return min(len(_pairs(b)) for bodies in TEMPLATES.values() for b in bodies)
+
+
+def possible(paragraph: Column, close: float = CLOSE) -> Column:
+    """Whether a paragraph can be confirmed at all: exact, since it counts what confirmation asks for at least.
+
+    A paragraph close to a template has ``close`` of the shortest template's number of word pairs, at least; a heading
+    has a name of its family.
+    """
+    known = _strings(sorted({p for bodies in TEMPLATES.values() for b in bodies for p in _pairs(b)}))
+    names = _strings(sorted({n for ns in NAMES.values() for n in ns}))
+
+    def test(grams: Column) -> Column:
+        return (F.size(F.array_intersect(grams, known)) >= close * _shortest()) | F.arrays_overlap(grams, names)
+
+    return let(ngrams(paragraph, 2), test)
+
+
+def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, unit, paragraph, body): every line of the whole texts, and every block of several lines up to a blank one.
+
+    Each kind is numbered from 0.
+    """
+    rows = texts(docs, key, text)
+
+    def numbered(parts: Column, unit: str) -> Column:
+        return F.transform(parts, lambda body, i: F.struct(F.lit(unit).alias("unit"), i.alias("paragraph"), body.alias("body")))
+
+    lines = numbered(F.split(text, "\n"), "line")
+    blocks = F.filter(numbered(F.split(text, r"\n(?:[ \t\r]*\n)+"), "block"), lambda b: F.trim(b["body"]).contains("\n"))
+    return rows.select(key, F.inline(F.concat(lines, blocks)))
+
+
 def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, paragraph, body): the lines of whole texts that have a licence stem, by their number from 0."""
-    rows = texts(docs, key, text).where(F.col(text).rlike(STEMS))
-    lines = rows.select(key, F.posexplode(F.split(text, "\n")).alias("paragraph", "body"))
-    return lines.where(F.col("body").rlike(STEMS))
+    """The lines and blocks that can be confirmed as some licence."""
+    return units(docs, key, text).where(possible(F.col("body")))
 
 
 # ---- training -------------------------------------------------------------------------------------------
@@ -152,9 +217,9 @@ class Model:
 def examples(
     spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", fit_docs: int = 300
 ) -> DataFrame:
-    """(label, body): variants of the templates, and as unknown the other paragraphs and ordinary lines.
+    """(label, body): variants of the templates and headings, and as unknown the other paragraphs and ordinary lines.
 
-    Ordinary lines are those without a stem in at most ``fit_docs`` documents, taken in the order of a hash of key
+    Ordinary lines are those that no template could confirm in at most ``fit_docs`` documents, taken in the order of a hash of key
     and text: the bound on what the classifier is fitted on.
     """
     rows = []
@@ -165,10 +230,11 @@ def examples(
             if len(part) >= 16:
                 half = len(part) // 2
                 rows += [(label, " ".join(part[:half])), (label, " ".join(part[half:])), (label, " ".join(part[half // 2 : -half // 2]))]
+    rows += [(label, lead + body) for label, bodies in HEADINGS.items() for body in bodies for lead in ("", "This project is under ", "License: ")]
     rows += [(UNKNOWN, lead + body + tail) for body in OTHERS for lead in LEADS for tail in TAILS]
     fixed = spark.createDataFrame(rows, "label string, body string").coalesce(1)
     some = hashed_sample(texts(docs, key, text), docs.count(), fit_docs, key, text)
-    lines = some.select(F.explode(F.split(text, "\n")).alias("body")).where(~F.col("body").rlike(STEMS))
+    lines = some.select(F.explode(F.split(text, "\n")).alias("body")).where(~possible(F.col("body")))
     return fixed.unionByName(lines.select(F.lit(UNKNOWN).alias("label"), "body"))
 
 
@@ -223,35 +289,36 @@ def _platt(held: DataFrame, rounds: int = 20) -> tuple[float, float]:
 
 
 def closeness(lines: DataFrame, family: str = "guess", body: str = "body") -> Column:
-    """How much of the shorter of a paragraph and the family's nearest template is in the other, by word pairs."""
-    own = F.filter(ngrams(F.col(body), 2), lambda g: g.contains(" "))
+    """How surely a paragraph is the family's: like its nearest template, or like a heading, whichever is more.
 
-    def nearest(mine: Column) -> Column:
+    A template: how much of the shorter of the two is in the other, by word pairs, which count as the shortest
+    template's if they are fewer. A heading: of a paragraph that has a
+    name of the family, how many of its words are numbers, filler, or in the family's headings.
+    """
+
+    def nearest(grams: Column) -> Column:
+        mine, own = F.filter(grams, lambda g: g.contains(" ")), F.filter(grams, lambda g: ~g.contains(" "))
         out = F.lit(0.0)
         for name, bodies in TEMPLATES.items():
             values = []
             for b in bodies:
-                theirs = F.array(*[F.lit(g) for g in _pairs(b)])
+                theirs = _strings(_pairs(b))
                 both = F.size(F.array_intersect(mine, theirs))
-                values.append(both / F.greatest(F.least(F.size(mine), F.size(theirs)), F.lit(2)))
-            values = F.greatest(*values) if len(values) > 1 else values[0]
-            out = F.when(F.col(family) == name, values).otherwise(out)
+                values.append(both / F.greatest(F.least(F.size(mine), F.size(theirs)), F.lit(_shortest())))
+            allowed = sorted({w for h in HEADINGS[name] for w in re.findall("[a-z]+", h.lower())} | set(FILLER))
+            fitting = F.size(F.array_intersect(own, _strings(allowed))) + F.size(F.filter(own, lambda w: w.rlike("^[0-9]")))
+            values.append(F.when(F.arrays_overlap(grams, _strings(NAMES[name])), fitting / F.size(own)).otherwise(0.0))
+            out = F.when(F.col(family) == name, F.greatest(*values)).otherwise(out)
         return out
 
-    return let(own, nearest)
-
-
-def _pairs(body: str) -> list[str]:
-    """Word pairs of a template, as ``ngrams`` makes them."""
-    w = re.findall("[a-z]+|[0-9]+", body.lower())
-    return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
+    return let(ngrams(F.col(body), 2), nearest)
 
 
-def classify(lines: DataFrame, model: Model, certain: float = 0.5, close: float = 0.8) -> DataFrame:
+def classify(lines: DataFrame, model: Model, certain: float = CERTAIN, close: float = CLOSE) -> DataFrame:
     """The lines with family, guess, probability and similarity.
 
     guess is the likeliest family, probability the calibrated belief that any is meant. The family is the guess if
-    the belief is ``certain`` and a template is ``close``; else it is unknown.
+    the belief is ``certain`` and a template or heading is ``close``; else it is unknown.
     """
     scored = _odds(model.families.transform(model.vocabulary.transform(lines.withColumn("grams", ngrams(F.col("body"))))))
     families = F.slice("p", 2, len(model.names) - 1)
@@ -265,11 +332,13 @@ def classify(lines: DataFrame, model: Model, certain: float = 0.5, close: float
 
 
 def licences(docs: DataFrame, key: str = "doc_id", text: str = "text", fit_docs: int = 300) -> DataFrame:
-    """(key, paragraph, body, guess, probability, similarity, family) of every paragraph with a licence stem.
+    """(key, unit, paragraph, body, guess, probability, similarity, family) of lines and blocks believed to be a licence.
 
-    Null and empty texts have none; repeated rows give their paragraphs each. The classifier is trained here, on the
-    templates and a bounded sample of ordinary lines.
+    Every line and every block of several lines is tested; those whose belief is below one half, and those that cannot
+    be confirmed at all, are left out. A notice on a line of its own within a block may be found as both. Null and empty
+    texts have none; repeated rows give their paragraphs each. The classifier is trained here, on the templates and a
+    bounded sample of ordinary lines.
     """
     spark = ready(docs.sparkSession)
     model = train(examples(spark, docs, key, text, fit_docs))
-    return classify(paragraphs(docs, key, text), model)
+    return classify(paragraphs(docs, key, text), model).where(F.col("probability") >= CERTAIN)

@@ -111,9 +111,9 @@ def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licence family of every paragraph that speaks of a licence."""
+    """Licence family of every line and block that is believed to be a licence's."""
     found = licences.licences(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "paragraph", "family", "guess", "probability", "similarity")
+    return found.select("doc_id", "unit", "paragraph", "family", "guess", "probability", "similarity")
 
 
 @query
