@@ -169,15 +169,22 @@ def possible(paragraph: Column, close: float = CLOSE) -> Column:
     """Whether a paragraph can be confirmed at all: exact, since it counts what confirmation asks for at least.
 
     A paragraph close to a template has ``close`` of the shortest template's number of word pairs, at least; a heading
-    has a name of its family.
+    has a name of its family. Word pairs are made only where there are words for it: so many pairs, none of a word
+    with itself, have three words or more.
     """
+    pair_words = _strings(sorted({w for bodies in TEMPLATES.values() for b in bodies for w in re.findall("[a-z]+|[0-9]+", b.lower())}))
+    name_words = _strings(sorted({n.split()[0] for ns in NAMES.values() for n in ns}))
     known = _strings(sorted({p for bodies in TEMPLATES.values() for b in bodies for p in _pairs(b)}))
     names = _strings(sorted({n for ns in NAMES.values() for n in ns}))
 
     def test(grams: Column) -> Column:
         return (F.size(F.array_intersect(grams, known)) >= close * _shortest()) | F.arrays_overlap(grams, names)
 
-    return let(ngrams(paragraph, 2), test)
+    def worth(w: Column) -> Column:
+        some = (F.size(F.array_intersect(w, pair_words)) >= 3) | F.arrays_overlap(w, name_words)
+        return F.when(some, let(ngrams(paragraph, 2), test)).otherwise(False)
+
+    return let(words(paragraph), worth)
 
 
 def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
