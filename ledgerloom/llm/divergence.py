@@ -31,31 +31,46 @@ def terms(text: str) -> list[bytes]:
 def term_counts(docs: DataFrame, most: int = 250_000) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of each term in each group, in parts.
 
-    A task adds up what it reads and hands its sums on when it holds ``most`` of them, and at its end, so a frequent
-    term or source sends a few rows a task.
+    A task adds up what it reads. Where it holds ``most`` sums after a text, it hands on those of terms seen once, and
+    all of them if more than half would stay; the rest goes at its end. So a frequent term or source sends a few rows
+    a task, and a task's memory does not follow the number of terms.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def sums() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, docs_with) in held.items():
-                size = len(n)
-                columns = [pa.repeat(pa.scalar(lang, pa.string()), size), pa.repeat(pa.scalar(source, pa.string()), size)]
-                columns += [pa.array(n.keys(), pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64())]
-                columns.append(pa.array([docs_with[t] for t in n], pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
-            held.clear()
+        size = 0
+
+        def sums(least: int = 1, below: float = float("inf")) -> pa.RecordBatch:
+            """Take out the sums from ``least`` to under ``below``."""
+            parts = []
+            for (lang, source), (n, docs_with) in list(held.items()):
+                gone = {t: c for t, c in n.items() if least <= c < below}
+                columns = [pa.repeat(pa.scalar(x, pa.string()), len(gone)) for x in (lang, source)]
+                columns += [pa.array(gone.keys(), pa.binary()).cast(pa.string()), pa.array(gone.values(), pa.int64())]
+                parts.append([*columns, pa.array([docs_with[t] for t in gone], pa.int64())])
+                stay = Counter({t: c for t, c in n.items() if t not in gone}), Counter({t: c for t, c in docs_with.items() if t not in gone})
+                if stay[0]:
+                    held[lang, source] = stay
+                else:
+                    del held[lang, source]
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*parts)], names=["lang", "source", "term", "n", "docs"])
 
         for batch in batches:
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                n, docs_with = held.setdefault((lang, source), (Counter(), Counter()))
-                words = terms(text)
+            for lang, source, text in zip(*batch.columns):
+                n, docs_with = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
+                size -= len(n)
+                words = terms(text.as_py())
                 n.update(words)
                 docs_with.update(set(words))
-            if sum(len(n) for n, _ in held.values()) >= most:
-                yield from sums()
-        yield from sums()
+                size += len(n)
+                if size >= most:
+                    yield sums(1, 2)
+                    size = sum(len(n) for n, _ in held.values())
+                    if size > most // 2:
+                        yield sums()
+                        size = 0
+        if held:
+            yield sums()
 
     return docs.mapInArrow(run, "lang string, source string, term string, n long, docs long")
 
@@ -100,7 +115,7 @@ class Quadtree:
 
 
 def divergences(
-    rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, totals: np.ndarray, width: int, split: int | None = None, most: int = 1 << 20
+    rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, totals: np.ndarray, width: int, split: int | None = None, most: int = 1 << 18
 ) -> np.ndarray:
     """Sum of floor((p-q)^2/q) over ``width`` columns, for every ordered pair of rows; p of the row, q of the column.
 
@@ -140,7 +155,7 @@ def divergences(
         q = per_unit(tree.count(j, c) + 1, totals[j])
         np.add.at(value, (i, j), (p - q) * (p - q) // q)
     zero = per_unit(np.ones(n, np.int64), totals)
-    columns = sum(np.kron(e, np.ones((1 << s, 1 << s), np.int64))[:n, :n] for s, e in enumerate(empty))
+    columns = sum(e[np.ix_(np.arange(n) >> s, np.arange(n) >> s)] for s, e in enumerate(empty))
     gap = zero[:, None] - zero[None, :]
     return value + columns * (gap * gap // zero[None, :])
 

@@ -98,3 +98,21 @@ def test_shares_of_large_counts_are_exact():
     counts, totals = [1, 10**9, 2 * 10**14, 7 * 10**13 + 1], [3, 10**9 + 7, 2 * 10**14 + 9, 2 * 10**14 + 9]
     got = divergence.per_unit(np.array(counts), np.array(totals))
     assert got.tolist() == [1 + 10**9 * c // t for c, t in zip(counts, totals)]
+
+
+def test_sums_handed_on_early_add_up(spark):
+    docs = spark.createDataFrame([(t or "", lang or "", s or "") for t, lang, s in ODD * 3], "text string, lang string, source string").coalesce(1)
+
+    def added(most):
+        rows = divergence.term_counts(docs.select("lang", "source", "text"), most).collect()
+        sums = defaultdict(lambda: (0, 0))
+        for r in rows:
+            n, d = sums[r.lang, r.source, r.term]
+            sums[r.lang, r.source, r.term] = n + r.n, d + r.docs
+        return len(rows), dict(sums)
+
+    few, want = added(10**6)
+    assert few == len(want)
+    for most in (1, 4, 12):
+        many, got = added(most)
+        assert got == want and many > few
