@@ -169,22 +169,21 @@ def possible(paragraph: Column, close: float = CLOSE) -> Column:
     """Whether a paragraph can be confirmed at all: exact, since it counts what confirmation asks for at least.
 
     A paragraph close to a template has ``close`` of the shortest template's number of word pairs, at least; a heading
-    has a name of its family. Word pairs are made only where there are words for it: so many pairs, none of a word
-    with itself, have three words or more.
+    has a name of its family. What holds for a stretch of a text holds for the whole text: more lines bring more words
+    and pairs and take none away. Each word and pair is looked up in a fixed set.
     """
-    pair_words = _strings(sorted({w for bodies in TEMPLATES.values() for b in bodies for w in re.findall("[a-z]+|[0-9]+", b.lower())}))
-    name_words = _strings(sorted({n.split()[0] for ns in NAMES.values() for n in ns}))
-    known = _strings(sorted({p for bodies in TEMPLATES.values() for b in bodies for p in _pairs(b)}))
-    names = _strings(sorted({n for ns in NAMES.values() for n in ns}))
+    known = sorted({p for bodies in TEMPLATES.values() for b in bodies for p in _pairs(b)})
+    names = sorted({n for ns in NAMES.values() for n in ns})
+    alone, double = [n for n in names if " " not in n], [n for n in names if " " in n]
 
-    def test(grams: Column) -> Column:
-        return (F.size(F.array_intersect(grams, known)) >= close * _shortest()) | F.arrays_overlap(grams, names)
+    def test(w: Column) -> Column:
+        before = F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))
+        pairs = F.zip_with(before, F.slice(w, 2, F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))
+        seen = F.array_distinct(F.filter(pairs, lambda p: p.isin(sorted({*known, *double}))))
+        template = F.size(F.filter(seen, lambda p: p.isin(known))) >= close * _shortest()
+        return template | F.exists(w, lambda x: x.isin(alone)) | F.exists(seen, lambda p: p.isin(double))
 
-    def worth(w: Column) -> Column:
-        some = (F.size(F.array_intersect(w, pair_words)) >= 3) | F.arrays_overlap(w, name_words)
-        return F.when(some, let(ngrams(paragraph, 2), test)).otherwise(False)
-
-    return let(words(paragraph), worth)
+    return let(words(paragraph), test)
 
 
 def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,8 +202,9 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The lines and blocks that can be confirmed as some licence."""
-    return units(docs, key, text).where(possible(F.col("body")))
+    """The lines and blocks that can be confirmed as some licence; only texts that could hold one are taken apart."""
+    rows = texts(docs, key, text)
+    return units(rows.where(possible(F.col(text))), key, text).where(possible(F.col("body")))
 
 
 # ---- training -------------------------------------------------------------------------------------------
