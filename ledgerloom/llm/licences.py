@@ -175,13 +175,20 @@ def possible(paragraph: Column, close: float = CLOSE) -> Column:
     known = sorted({p for bodies in TEMPLATES.values() for b in bodies for p in _pairs(b)})
     names = sorted({n for ns in NAMES.values() for n in ns})
     alone, double = [n for n in names if " " not in n], [n for n in names if " " in n]
+    wanted = sorted({*known, *double})
+    firsts, seconds = (sorted({p.split()[i] for p in wanted}) for i in (0, 1))
 
-    def test(w: Column) -> Column:
-        before = F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))
-        pairs = F.zip_with(before, F.slice(w, 2, F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))
-        seen = F.array_distinct(F.filter(pairs, lambda p: p.isin(sorted({*known, *double}))))
+    def pair(a: Column, b: Column) -> Column:  # null where the two words are in no pair that is looked for
+        return F.when(a.isin(firsts), F.when(b.isin(seconds), F.concat(a, F.lit(" "), b)))
+
+    def judge(seen: Column) -> Column:
         template = F.size(F.filter(seen, lambda p: p.isin(known))) >= close * _shortest()
-        return template | F.exists(w, lambda x: x.isin(alone)) | F.exists(seen, lambda p: p.isin(double))
+        return template | F.exists(seen, lambda p: p.isin(double))
+
+    def test(w: Column) -> Column:
+        pairs = F.zip_with(w, F.slice(w, 2, F.size(w)), pair)
+        seen = F.array_distinct(F.filter(pairs, lambda p: p.isin(wanted)))
+        return F.arrays_overlap(w, _strings(alone)) | let(seen, judge)
 
     return let(words(paragraph), test)
 
