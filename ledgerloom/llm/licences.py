@@ -193,25 +193,33 @@ def possible(paragraph: Column, close: float = CLOSE) -> Column:
     return let(words(paragraph), test)
 
 
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, unit, paragraph, body): every line of the whole texts, and every block of several lines up to a blank one.
-
-    Each kind is numbered from 0.
-    """
-    rows = texts(docs, key, text)
+def _parts(text: str) -> Column:
+    """All units of a text as (unit, paragraph, body)."""
 
     def numbered(parts: Column, unit: str) -> Column:
         return F.transform(parts, lambda body, i: F.struct(F.lit(unit).alias("unit"), i.alias("paragraph"), body.alias("body")))
 
     lines = numbered(F.split(text, "\n"), "line")
     blocks = F.filter(numbered(F.split(text, r"\n(?:[ \t\r]*\n)+"), "block"), lambda b: F.trim(b["body"]).contains("\n"))
-    return rows.select(key, F.inline(F.concat(lines, blocks)))
+    return F.concat(lines, blocks)
+
+
+def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, unit, paragraph, body): every line of the whole texts, and every block of several lines up to a blank one.
+
+    Each kind is numbered from 0.
+    """
+    return texts(docs, key, text).select(key, F.inline(_parts(text)))
 
 
 def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The lines and blocks that can be confirmed as some licence; only texts that could hold one are taken apart."""
-    rows = texts(docs, key, text)
-    return units(rows.where(possible(F.col(text))), key, text).where(possible(F.col("body")))
+    """The lines and blocks that can be confirmed as some licence.
+
+    Only texts that could hold one are taken apart, and a unit that is all of its text is not tested again.
+    """
+    rows = texts(docs, key, text).where(possible(F.col(text)))
+    parts = rows.select(key, F.length(text).alias("_whole"), F.inline(_parts(text)))
+    return parts.where((F.length("body") == F.col("_whole")) | possible(F.col("body"))).drop("_whole")
 
 
 # ---- training -------------------------------------------------------------------------------------------
