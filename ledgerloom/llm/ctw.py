@@ -27,7 +27,9 @@ SHARE = 2.0**-21
 FREQUENT = 2e-6
 END = ""  # the end token; no word is empty
 GRAM = " "  # stands for the word of a row that has a gram; no word has white space
-CHUNK = 1 << 21
+#: A worker takes this many bytes of text, and about this many grams with the subtrees below them, at a time.
+CHUNK = 1 << 19
+STRETCH = 1 << 17
 _CACHE_BITS = 20
 
 
@@ -108,17 +110,17 @@ def counts(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int
             raw = [lowered(t) for t in batch.column(1).to_pylist()]
             for r in raw:
                 words.update(r.split())
-                if len(words) > 400_000:
+                if len(words) > 200_000:
                     yield from give_words()
             words[b""] += len(raw)
             for part, _ in contexts(raw, depth):
                 unique, n = np.unique(part, return_counts=True)
                 grams.append((unique, n))
                 many += len(unique)
-                if many > 4_000_000:
+                if many > 2_000_000:
                     grams = [merged()]
                     many = len(grams[0][0])
-                    if many > 3_000_000:
+                    if many > 1_500_000:
                         yield from give_grams()
                         grams, many = [], 0
         if words:
@@ -191,6 +193,23 @@ def subtrees(grams: np.ndarray, n: np.ndarray, depth: int, top: int):
         yield d, node, n0, n1, weighted, share
 
 
+def whole_subtrees(
+    grams: np.ndarray, depth: int, top: int, *values: np.ndarray, most: int | None = None
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """Grams and their values in stretches of ``most`` or more, each with all grams that share their ``top`` nearest bytes."""
+    most = STRETCH if most is None else most
+    order = np.argsort(grams)
+    grams = grams[order]
+    root = grams >> np.uint64(8 * (depth - top) + 8)
+    begins = np.flatnonzero(np.concatenate([[True], root[1:] != root[:-1]]))
+    del root
+    begin = 0
+    for end in [*begins[1:].tolist(), len(grams)]:
+        if end - begin >= most or end == len(grams):
+            yield grams[begin:end], *(v[order[begin:end]] for v in values)
+            begin = end
+
+
 class Cached:
     """Keeps what this worker has looked up by ``log10_of`` in a table of fixed size."""
 
@@ -286,14 +305,16 @@ def train_tree(counted: DataFrame, depth: int = DEPTH, share: float = 2.0) -> Tr
         if not sum(len(g) for g, _ in every):
             return
         keys, n = (np.concatenate(x) for x in zip(*every))
-        for d, node, n0, n1, weighted, own in subtrees(keys.astype(np.uint64), n, depth, top):
-            keep = np.ones(len(node), bool) if d == top else n0 + n1 >= least
-            columns = [np.full(keep.sum(), d, np.int32), node[keep].astype(np.int64)]
-            columns += [x[keep] for x in (n0, n1, weighted, own)]
-            for i in range(0, len(columns[0]), 200_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[i : i + 200_000]) for c in columns], names=["depth", "node", "n0", "n1", "weighted", "own"]
-                )
+        del every
+        for part, uses in whole_subtrees(keys.astype(np.uint64), depth, top, n):
+            for d, node, n0, n1, weighted, own in subtrees(part, uses, depth, top):
+                keep = np.ones(len(node), bool) if d == top else n0 + n1 >= least
+                columns = [np.full(keep.sum(), d, np.int32), node[keep].astype(np.int64)]
+                columns += [x[keep] for x in (n0, n1, weighted, own)]
+                for i in range(0, len(columns[0]), 200_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c[i : i + 200_000]) for c in columns], names=["depth", "node", "n0", "n1", "weighted", "own"]
+                    )
 
     by = F.shiftrightunsigned("gram", width - 8 * top)
     nodes = cut(
@@ -336,17 +357,18 @@ def gram_scores(grams: DataFrame, tree: Tree) -> DataFrame:
         every = [[b.column(i).to_numpy() for i in range(3)] for b in batches]
         if not sum(len(g) for g, _, _ in every):
             return
-        keys, n, uses = (np.concatenate(x) for x in zip(*every))
-        keys, trained = keys.astype(np.uint64), n > 0
-        deeper = [level(*(np.zeros(0) for _ in range(4))) for _ in range(top, depth + 1)]
-        if trained.any():
-            for d, node, n0, n1, _, own in subtrees(keys[trained], n[trained], depth, top):
-                deeper[d - top] = level(node, n0, n1, own)
-        whole = Tree(depth, [*sent.value, *deeper])
-        for i in range(0, len(keys), 200_000):
-            part = keys[i : i + 200_000]
-            columns = [pa.array(part.view(np.int64)), pa.array(uses[i : i + 200_000]), pa.array(whole.log10_of(part))]
-            yield pa.RecordBatch.from_arrays(columns, names=["gram", "uses", "score"])
+        every = [np.concatenate(x) for x in zip(*every)]
+        for keys, n, uses in whole_subtrees(every[0].astype(np.uint64), depth, top, *every[1:]):
+            trained = n > 0
+            deeper = [level(*(np.zeros(0) for _ in range(4))) for _ in range(top, depth + 1)]
+            if trained.any():
+                for d, node, n0, n1, _, own in subtrees(keys[trained], n[trained], depth, top):
+                    deeper[d - top] = level(node, n0, n1, own)
+            whole = Tree(depth, [*sent.value, *deeper])
+            for i in range(0, len(keys), STRETCH):
+                part = keys[i : i + STRETCH]
+                columns = [pa.array(part.view(np.int64)), pa.array(uses[i : i + STRETCH]), pa.array(whole.log10_of(part))]
+                yield pa.RecordBatch.from_arrays(columns, names=["gram", "uses", "score"])
 
     by = F.shiftrightunsigned("gram", 8 * depth + 8 - 8 * top)
     return grams.select("gram", "n", "uses").repartition(by).mapInArrow(run, "gram long, uses long, score double")

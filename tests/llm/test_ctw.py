@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -153,3 +154,30 @@ def test_rare_grams_keep_their_depth(spark, monkeypatch):
         for i, text in pairs:
             grams = np.concatenate([g for g, _ in ctw.contexts([ctw.lowered(text)])])
             assert abs(got[i] - whole.cached(grams).sum()) < 1e-6 * abs(got[i]), (share, i)
+
+
+def test_a_worker_takes_grams_subtree_by_subtree():
+    """Stretches hold whole subtrees, lose nothing, and bound what a task works on at once."""
+    rng = np.random.default_rng(7)
+    grams = np.unique(rng.integers(0, 1 << 40, 400_000, dtype=np.uint64) & np.uint64(0x0F0FFFFFFF))
+    rng.shuffle(grams)
+    n = rng.integers(1, 9, len(grams))
+    parts = list(ctw.whole_subtrees(grams, 4, 2, n, most=1000))
+    assert len(parts) > 100 and max(len(g) for g, _ in parts) < 1000 + 3000
+    roots = [set((g >> np.uint64(24)).tolist()) for g, _ in parts]
+    assert sum(map(len, roots)) == len(set.union(*roots))
+    assert dict(zip(grams.tolist(), n.tolist())) == {g: c for p in parts for g, c in zip(*(x.tolist() for x in p))}
+
+    def nodes(found):
+        return sorted((d, *x) for d, *own in found for x in zip(*(y.tolist() for y in own)))
+
+    assert nodes(ctw.subtrees(grams, n, 4, 2)) == nodes(s for p in parts for s in ctw.subtrees(*p, 4, 2))
+
+
+def test_memory_of_a_stretch_of_text_is_bounded():
+    raw = [np.random.default_rng(i).integers(97, 123, 1 << 20, dtype=np.uint8).tobytes() for i in range(4)]
+    tracemalloc.start()
+    sizes = [len(g) for g, _ in ctw.contexts(raw)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == 4 << 20 and peak < 64e6
