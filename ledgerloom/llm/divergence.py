@@ -95,23 +95,49 @@ def per_unit(count: np.ndarray, total: np.ndarray) -> np.ndarray:
     return 1 + first * 32000 + rest * 32000 // total
 
 
+#: Up to this many cells a level of a tree is a table of its quadrants, beyond that a sorted list.
+TABLE = 1 << 21
+
+
 class Quadtree:
-    """Which quadrants of a group-term matrix hold a count: the nodes of each level, leaves last, as sorted codes."""
+    """Which quadrants of a group-term matrix hold a count, and the share that each leaf has in its row's ``totals``.
+
+    Each level is a table with a flag for each quadrant, or where that is too large the sorted codes of those held.
+    """
 
-    def __init__(self, rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, levels: int) -> None:
-        self.nodes = [np.unique((rows >> s) << 32 | (cols >> s)) for s in range(levels + 1)]
-        order = np.argsort(rows << 32 | cols)
-        self.counts = counts[order]
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, totals: np.ndarray, width: int, levels: int, most: int = TABLE) -> None:
+        self.zero = per_unit(np.ones(len(totals), np.int64), totals)
+        shares = per_unit(counts + 1, totals[rows])
+        self.flags: list[np.ndarray | None] = []
+        self.nodes: list[np.ndarray | None] = []
+        for s in range(levels + 1):
+            shape = (len(totals) - 1 >> s) + 1, (width - 1 >> s) + 1
+            small = shape[0] * shape[1] <= most
+            self.nodes.append(None if small else np.unique((rows >> s) << 32 | (cols >> s)))
+            self.flags.append(np.zeros(shape, bool) if small else None)
+            if small:
+                self.flags[s][rows >> s, cols >> s] = True
+        if self.flags[0] is None:
+            self.shares = shares[np.argsort(rows << 32 | cols)]
+        else:
+            self.shares = np.repeat(self.zero[:, None], width, axis=1)
+            self.shares[rows, cols] = shares
 
     def holds(self, level: int, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+        if (flags := self.flags[level]) is not None:
+            return flags[row, col]
         nodes, code = self.nodes[level], row << 32 | col
         at = np.minimum(np.searchsorted(nodes, code), max(0, len(nodes) - 1))
         return nodes[at] == code if len(nodes) else np.zeros(len(code), bool)
 
-    def count(self, row: np.ndarray, col: np.ndarray) -> np.ndarray:
-        """Counts at leaves; 0 where there is none."""
-        at = np.minimum(np.searchsorted(self.nodes[0], row << 32 | col), max(0, len(self.nodes[0]) - 1))
-        return np.where(self.holds(0, row, col), self.counts[at], 0) if len(self.nodes[0]) else np.zeros(len(row), np.int64)
+    def share(self, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+        """Shares at leaves, those without a count included."""
+        if self.flags[0] is not None:
+            return self.shares[row, col]
+        if not len(self.nodes[0]):
+            return self.zero[row]
+        at = np.minimum(np.searchsorted(self.nodes[0], row << 32 | col), len(self.nodes[0]) - 1)
+        return np.where(self.nodes[0][at] == row << 32 | col, self.shares[at], self.zero[row])
 
 
 def divergences(
@@ -126,7 +152,7 @@ def divergences(
     """
     n = len(totals)
     levels = max(1, int(max(n, width) - 1).bit_length())
-    tree, value = Quadtree(rows, cols, counts, levels), np.zeros((n, n), np.int64)
+    tree, value = Quadtree(rows, cols, counts, totals, width, levels), np.zeros((n, n), np.int64)
     empty = [np.zeros((-(-n // (1 << s)),) * 2, np.int64) for s in range(levels + 1)]
     first = min(levels, max(0, (most // (n * n)).bit_length() - 1))
     top = np.arange(-(-n // (1 << first)))
@@ -145,16 +171,16 @@ def divergences(
                 i, j, c = i[wanted], j[wanted], c[wanted]
             some = tree.holds(level, i, c) | tree.holds(level, j, c)
             none = ~some
-            np.add.at(empty[level], (i[none], j[none]), np.minimum((c[none] + 1) << level, width) - (c[none] << level))
+            here = i[none] * len(empty[level]) + j[none]
+            np.add.at(empty[level].reshape(-1), here, np.minimum((c[none] + 1) << level, width) - (c[none] << level))
             i, j, c = i[some], j[some], c[some]
             if level:
                 i, j, c = (np.add.outer(2 * x, halves[:, k]).ravel() for k, x in enumerate((i, j, c)))
                 real = (i << (level - 1) < n) & (j << (level - 1) < n) & (c << (level - 1) < width)
                 i, j, c = i[real], j[real], c[real]
-        p = per_unit(tree.count(i, c) + 1, totals[i])
-        q = per_unit(tree.count(j, c) + 1, totals[j])
-        np.add.at(value, (i, j), (p - q) * (p - q) // q)
-    zero = per_unit(np.ones(n, np.int64), totals)
+        p, q = tree.share(i, c), tree.share(j, c)
+        np.add.at(value.reshape(-1), i * n + j, (p - q) * (p - q) // q)
+    zero = tree.zero
     columns = sum(e[np.ix_(np.arange(n) >> s, np.arange(n) >> s)] for s, e in enumerate(empty))
     gap = zero[:, None] - zero[None, :]
     return value + columns * (gap * gap // zero[None, :])

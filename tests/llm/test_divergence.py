@@ -116,3 +116,25 @@ def test_sums_handed_on_early_add_up(spark):
     for most in (1, 4, 12):
         many, got = added(most)
         assert got == want and many > few
+
+
+def test_a_cell_is_priced_once_for_all_pairs(monkeypatch):
+    """Tables and sorted lists of quadrants give the same; the share of a cell is not worked out again for each pair."""
+    rng = np.random.default_rng(3)
+    rows, cols = np.nonzero(rng.random((40, 300)) < 0.3)
+    order = rng.permutation(len(rows))
+    rows, cols = rows[order], cols[order]
+    counts, totals = rng.integers(1, 9, len(rows)), rng.integers(5_000, 10**6, 40)
+    priced, whole = [], divergence.per_unit
+    monkeypatch.setattr(divergence, "per_unit", lambda n, total: priced.append(len(n)) or whole(n, total))
+    got = divergence.divergences(rows, cols, counts, totals, 300)
+    assert sum(priced) <= len(rows) + 2 * len(totals)
+    matrix = np.zeros((40, 300), np.int64)
+    matrix[rows, cols] = counts
+    p = whole(matrix + 1, totals[:, None])
+    for i in range(40):
+        assert (got[i] == ((p[i] - p) ** 2 // p).sum(1)).all()
+    init = divergence.Quadtree.__init__
+    for most in (0, 900):  # every level as a list; only the lower ones
+        monkeypatch.setattr(divergence.Quadtree, "__init__", lambda self, *args, most=most: init(self, *args, most=most))
+        assert (divergence.divergences(rows, cols, counts, totals, 300) == got).all()
