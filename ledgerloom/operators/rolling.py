@@ -96,21 +96,22 @@ def slide(
 
 
 def distinct_state(rows: DataFrame, by: Sequence[str], ids: Sequence[str]) -> DataFrame:
-    """(by, id_column, id_bucket, bits): which ids a group has, as bitmaps of 32,768 consecutive ids each.
+    """(by, id_column, id_word, bits): which ids a group has, 64 consecutive ids a row as the bits of a long.
 
-    Built with map-side combination; a null id counts as none. Meant for surrogate keys, which lie close together:
-    a bitmap takes 4 KB however few of its ids occur.
+    Built with map-side combination, column by column; a null id counts as none. A row takes a few bytes whether one
+    of its ids occurs or all do, so a state is at most as long as the rows it is made from.
     """
-    named = F.explode(F.array(*[F.struct(F.lit(c).alias("id_column"), F.col(c).cast("long").alias("_id")) for c in ids]))
-    pairs = rows.select(*by, named.alias("_x")).select(*by, "_x.*").where("_id IS NOT NULL")
-    return pairs.groupBy(*by, "id_column", F.bitmap_bucket_number("_id").alias("id_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("bits")
-    )
+    parts = []
+    for c in ids:
+        named = rows.select(*by, F.lit(c).alias("id_column"), F.col(c).cast("long").alias("_id")).where("_id IS NOT NULL")
+        words = named.groupBy(*by, "id_column", F.shiftright("_id", 6).alias("id_word"))
+        parts.append(words.agg(F.bit_or(F.expr("shiftleft(1L, cast(_id & 63 as int))")).alias("bits")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def merged_distincts(state: DataFrame, by: Sequence[str], ids: Sequence[str]) -> DataFrame:
     """(by, distinct_<id>...): exact distinct counts of a coarser group, from states alone."""
-    whole = state.groupBy(*by, "id_column", "id_bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    counted = whole.select(*by, "id_column", F.bitmap_count("bits").alias("_n"))
+    whole = state.groupBy(*by, "id_column", "id_word").agg(F.bit_or("bits").alias("bits"))
+    counted = whole.select(*by, "id_column", F.bit_count("bits").alias("_n"))
     sums = [F.coalesce(F.sum(F.when(F.col("id_column") == c, F.col("_n"))), F.lit(0).cast("long")).alias(f"distinct_{c}") for c in ids]
     return counted.groupBy(*by).agg(*sums)

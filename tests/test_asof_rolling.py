@@ -135,3 +135,22 @@ def test_distinct_states_merge(spark):
         own[0].add(x)
         own[1].add(y)
     assert got == {k: (len(a - {None}), len(b)) for k, (a, b) in want.items()}
+
+
+def test_a_distinct_state_is_no_larger_than_its_ids(spark):
+    """Ids far apart, as a day's are in a large table: a row of a state takes bytes, not a bitmap of 4 KB."""
+    df = spark.createDataFrame([(D0, i * 100_000 - 7, None if i % 2 else i) for i in range(50)], "d date, x long, y int")
+    state = distinct_state(df, ["d"], ["x", "y"])
+    assert state.count() <= 50 + 25
+    cells = [c for row in state.collect() for c in row]
+    assert sum(len(c) for c in cells if isinstance(c, (bytes, bytearray))) < 100 * 50
+    got = merged_distincts(state, ["d"], ["x", "y"]).first()
+    assert (got.distinct_x, got.distinct_y) == (50, 25)
+
+
+def test_distinct_states_of_whole_words(spark):
+    """All 64 bits of a word, ids at its edges and below zero, and the same id in two states."""
+    edges = [-(2**63), -65, -64, -1, 0, 63, 64, 127, 2**63 - 1, *range(128, 192)]
+    df = spark.createDataFrame([(D0 + timedelta(days=k), i) for k in (0, 1) for i in edges], "d date, x long")
+    state = distinct_state(df, ["d"], ["x"]).withColumn("m", F.month("d"))
+    assert merged_distincts(state, ["m"], ["x"]).first().distinct_x == len(edges)
