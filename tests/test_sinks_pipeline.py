@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import threading
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from pathlib import Path
@@ -14,6 +15,7 @@ from ledgerloom.catalog import Catalog
 from ledgerloom.operators import sinks
 from ledgerloom.operators.ingest import Window
 from ledgerloom.operators.merge import merge_upsert
+from ledgerloom.operators.quality import NOT_NULL, Check
 from ledgerloom.plans import pipeline
 from ledgerloom.plans.checks import ALL_CHECKS
 from ledgerloom.sources import sources_from_path, sources_from_tables
@@ -322,3 +324,25 @@ def test_catalog_from_stored_tables(spark, tmp_path, bed):
     bed.source("merchants").write.parquet(str(tmp_path / "merchants.parquet"))
     files = Catalog(sources_from_path(spark, str(tmp_path)), bed.ctx)
     assert files.source("merchants").count() == bed.source("merchants").count()
+
+
+def test_independent_models_are_written_side_by_side(spark, tmp_path):
+    """Two staging models wait for each other, then two domains of marts, which find staging written; checks are counted."""
+    waits = {"staging": threading.Barrier(2, timeout=60), "marts": threading.Barrier(2, timeout=60)}
+
+    def model(name, stage):
+        def make(cat):
+            waits[stage].wait()
+            df = cat.ref("stg_a").unionByName(cat.ref("stg_b")) if stage == "marts" else spark.range(4).select(F.when(F.col("id") > 0, F.col("id")).alias("id"))
+            return df.select("id", *(F.lit("x").alias(c) for c in layout(name)))
+
+        return make
+
+    def layout(name):
+        return pipeline.LAYOUTS[name].cluster_by if name in pipeline.LAYOUTS else ()
+
+    staging, marts = ["stg_a", "stg_b"], ["mart_fraud_analytics", "mart_transaction_analytics"]
+    models = {n: model(n, "staging") for n in staging} | {n: model(n, "marts") for n in marts}
+    suite = [Check("x", n, "id", NOT_NULL) for n in models]
+    known = pipeline.materialize(spark, Catalog({}, CTX, models), [*staging, *marts], suite, str(tmp_path))
+    assert [known[c] for c in suite] == [1, 1, 2, 2]
